@@ -63,7 +63,7 @@ def rank_entities(
             *label,
             F.sum(value).alias("total_value"),
             F.count(F.lit(1)).alias("n_documents"),
-            F.avg(value).alias("mean_value"),
+            (F.sum(value).cast("double") / F.count(value)).alias("mean_value"),
             F.max(value).alias("max_value"),
             F.countDistinct(member).alias("n_members"),
         )
@@ -80,7 +80,7 @@ def report(df: DataFrame, by: list[str], value: str, member: str) -> DataFrame:
         .agg(
             F.sum(value).alias("total_value"),
             F.count(F.lit(1)).alias("n_rows"),
-            F.avg(value).alias("mean_value"),
+            (F.sum(value).cast("double") / F.count(value)).alias("mean_value"),
             F.countDistinct(member).alias("n_members"),
         )
         .orderBy(*by[:-1], F.col("total_value").desc(), by[-1])

@@ -1,4 +1,4 @@
 """All registered queries and their oracles."""
 
-from . import gold, silver  # noqa: F401
+from . import bronze, gold, monitor, silver  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.errors import AnalysisException
+from pyspark.errors import AnalysisException
 
 from ..functions.scratch import new_path
 from ..operators.incremental import CONTROL_SCHEMA

@@ -53,7 +53,7 @@ def write_with_alerts(
     rows: DataFrame, out: str, alerts: str, sla: str, checkpoint: str, level: str = "urgency", alert_levels=V.ALERT_LEVELS,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Start a query that writes rows, alert rows and one service-level row per batch.
+    """Start a query that writes rows, alert rows and one service-level row per batch with rows.
 
     Without `every` it takes what there is and stops. Every batch owns its partition in the three
     tables, so a batch that is run again after a failure leaves no duplicates.
@@ -67,14 +67,16 @@ def write_with_alerts(
         try:
             written = _replace(batch, out, number)
             n_rows = written.count()
-            n_alerts = _replace(written.filter(F.col(level).isin(alert_levels)), alerts, number).count()
+            if n_rows:
+                n_alerts = _replace(written.filter(F.col(level).isin(alert_levels)), alerts, number).count()
         except Exception:
             status = "FAILED"
             raise
         finally:
             seconds = (datetime.now(timezone.utc) - started).total_seconds()
             line = (started, seconds, n_rows, n_alerts, int(status != "SUCCESS"), status)
-            _replace(spark.createDataFrame([line], SLA_SCHEMA), sla, number)
+            if n_rows or status != "SUCCESS":
+                _replace(spark.createDataFrame([line], SLA_SCHEMA), sla, number)
 
     writer = rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)

@@ -20,7 +20,7 @@ def plain(value):
     if value is None or (isinstance(value, float) and math.isnan(value)):
         return None
     if isinstance(value, float):
-        return round(value, 4) + 0.0
+        return value + 0.0
     if hasattr(value, "isoformat"):
         return value.isoformat()
     return value
