@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import store
+from .scratch import Stored, store
 
 BROADCAST_BYTES = 32 << 20
 SALTS = 64
@@ -19,20 +19,20 @@ def salt(columns, n: int = SALTS) -> Column:
 
 def join_lookup(
     facts: DataFrame,
-    lookup: DataFrame,
+    lookup: DataFrame | Stored,
     on: list[str],
     how: str = "left",
     max_broadcast_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join `facts` with `lookup`, which has one row per value of `on`; null keys equal each other.
+    """Join `facts` with the few rows per key of `lookup`; null keys equal each other.
 
     The lookup is computed once and written, so its size is known: up to the limit it is broadcast
     and the facts are not shuffled, beyond it the facts are salted and the lookup is repeated per salt.
     """
-    stored = store(lookup, "lookup")
+    stored = lookup if isinstance(lookup, Stored) else store(lookup, "lookup")
     right = stored.df.select(
-        *[F.col(k).alias(f"__{k}") for k in on], *[c for c in lookup.columns if c not in on]
+        *[F.col(k).alias(f"__{k}") for k in on], *[c for c in stored.df.columns if c not in on]
     )
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in on])
     drop = [f"__{k}" for k in on]

@@ -59,10 +59,12 @@ def absences(
     Sessions are counted per body and votes per member and body, so members never meet sessions.
     The bodies are few; their number is checked before they are attached to every member.
     """
-    listed = votes.select(session, body).distinct()
-    held = store(listed.groupBy(body).agg(F.count(F.lit(1)).alias("n_held")), "bodies")
+    listed = store(votes.select(session, body).distinct(), "sessions")
+    held = store(listed.df.groupBy(body).agg(F.count(F.lit(1)).alias("n_held")), "bodies")
     attended = (
-        votes.select(key, session).distinct().join(listed, session).groupBy(key, body).agg(F.count(F.lit(1)).alias("n_voted"))
+        join_lookup(votes.select(key, session).distinct(), listed, [session], "inner")
+        .groupBy(key, body)
+        .agg(F.count(F.lit(1)).alias("n_voted"))
     )
     body_key = F.coalesce(F.concat(F.lit("="), F.col(body).cast("string")), F.lit(""))
     if held.rows <= max_bodies:

@@ -37,7 +37,7 @@ def memberships(edges: DataFrame, member: str, group: str, label: str, page_size
     paged = (
         edges.select(member, group, label)
         .dropDuplicates([member, group])
-        .groupBy(member, F.floor(F.col(group) / page_size).alias("page"))
+        .groupBy(member, F.expr(f"`{group}` div {page_size}").alias("page"))
         .agg(F.array_sort(F.collect_list(label)).alias("labels"))
     )
     totals = edges.groupBy(member).agg(F.countDistinct(group).alias("n_groups"))
@@ -68,7 +68,7 @@ def overlap_pairs(edges: DataFrame, group: str, member: str, heavy_degree: int =
     bit = F.expr("shiftleft(1L, CAST((__no - 1) % 62 AS INT))")
     masks = (
         marked.filter("__no IS NOT NULL")
-        .groupBy(group, F.floor((F.col("__no") - 1) / 62).alias("__chunk"))
+        .groupBy(group, F.expr("(__no - 1) div 62").alias("__chunk"))
         .agg(F.bit_or(bit).alias("__mask"))
     )
     both = F.bit_count(F.col("__mask").bitwiseAND(F.col("__other__mask"))).cast("bigint")

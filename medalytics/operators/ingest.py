@@ -8,7 +8,7 @@ from ..functions import columns as C
 from ..functions import fixed_values as V
 from ..functions.ordered import running_total, running_total_by
 from ..functions.skew import join_lookup
-from .scd import CHUNK
+from .scd import number_chunk
 
 NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
 
@@ -57,7 +57,7 @@ def failure_runs(
     A run is named by the number of successes before it. Both running counts are taken chunk by
     chunk, so an endpoint with most of the requests is still counted by many tasks.
     """
-    chunk = F.floor(F.col(order) / CHUNK) if chunk is None else chunk
+    chunk = number_chunk(order) if chunk is None else chunk
     bad = F.coalesce(failed, F.lit(False)).cast("int")
     marked = running_total_by(
         requests.select(*by, order, bad.alias("__bad")), by, order, chunk, {"__oks": 1 - F.col("__bad"), "__fails": F.col("__bad")}

@@ -11,12 +11,17 @@ from pyspark.sql import functions as F
 CHUNK = 1_000_000
 
 
+def number_chunk(order: str, size: int = CHUNK) -> Column:
+    """Chunk of `size` consecutive order numbers; a missing number comes first."""
+    return F.coalesce(F.expr(f"`{order}` div {size}"), F.lit(-(2**63)))
+
+
 def build(df: DataFrame, key: str, order: str, ts: str, chunk: Column | None = None) -> DataFrame:
     """Add valid_from, valid_to (the start of the next version, null if none) and is_current.
 
-    By default a chunk holds a range of CHUNK order numbers.
+    By default a chunk holds CHUNK consecutive order numbers; a given chunk must not be null.
     """
-    chunk = F.floor(F.col(order) / CHUNK) if chunk is None else chunk
+    chunk = number_chunk(order) if chunk is None else chunk
     rows = df.filter(F.col(key).isNotNull()).withColumn("__chunk", chunk)
     heads = rows.groupBy(key, "__chunk").agg(F.min(F.struct(F.col(order), F.col(ts))).alias("__head"))
     follow = F.lead("__head").over(Window.partitionBy(key).orderBy("__chunk"))
@@ -86,15 +91,14 @@ def as_of_join(
     )
     earlier = Window.partitionBy(key).orderBy("__period").rowsBetween(Window.unboundedPreceding, -1)
     carried = last.select(
-        F.col(key).alias("__k"), F.col("__period").alias("__p"), F.last("__end", ignorenulls=True).over(earlier).alias("__carried")
+        key, "__period", F.last("__end", ignorenulls=True).over(earlier).alias("__carried")
     )
     sofar = (
         Window.partitionBy(key, "__period").orderBy("__at", "__side", "__seq").rowsBetween(Window.unboundedPreceding, 0)
     )
     filled = merged.withColumn("__here", F.last("__version", ignorenulls=True).over(sofar)).filter("__side = 1")
-    joined = filled.join(
-        carried, F.col(key).eqNullSafe(F.col("__k")) & F.col("__period").eqNullSafe(F.col("__p")), "left"
-    )
+    # same keys as the window, so the merged rows are not shuffled again
+    joined = filled.join(carried, [key, "__period"], "left")
     found = F.coalesce("__here", "__carried")
     return joined.withColumn("__found", F.when(F.col("__at").isNotNull(), found)).select(
         "__row.*", *[F.col(f"__found.{c}").alias(c) for c in cols]

@@ -78,7 +78,9 @@ def mentions(
     slices = max(1, ceil(stored.bytes / max_bytes))
     passes = []
     for number in range(slices):
-        part = stored.df.filter(F.pmod(F.xxhash64("__name"), F.lit(slices)) == number)
+        part = stored.df
+        if slices > 1:
+            part = part.filter(F.pmod(F.xxhash64("__name"), F.lit(slices)) == number)
         words = [r[0] for r in part.select("__name").distinct().collect()]
         if not words:
             continue

@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
@@ -32,20 +32,20 @@ def create_layers(spark: SparkSession, bronze: str = "bronze", silver: str = "si
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> int:
-    """Write and return the number of rows, read from the written files' footers.
+    """Write and return the number of rows, counted while they are written.
 
-    With `partition_by`, overwrite replaces only the partitions that occur in `df`; rows are gathered
-    by partition with a spread, so that a large partition is still written by many tasks.
+    With `partition_by`, overwrite replaces only the partitions that occur in `df`. Rows are gathered
+    by partition before, with small partitions joined and large ones split again at run time, so there
+    are neither many small files nor one task for a large partition.
     """
-    writer = df.write.mode(mode)
+    counted = Observation()
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    writer = df.observe(counted, F.count(F.lit(1)).alias("n")).write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    spark = df.sparkSession
-    before = 0 if mode == "overwrite" else _rows(spark, path)
     writer.parquet(path)
-    if partition_by and mode == "overwrite":
-        return df.select(F.lit(1)).count()
-    return _rows(spark, path) - before
+    return counted.get.get("n", 0)
 
 
 def _rows(spark: SparkSession, path: str) -> int:
