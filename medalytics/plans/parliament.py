@@ -177,19 +177,20 @@ def proposicoes_scd2(tramitacoes: DataFrame) -> DataFrame:
     return scd.build(rows, "id_proposicao", "sequencia", "data_hora_tramitacao")
 
 
-VOTACOES_RULES = [
-    Expectation("id_presente", F.col("id_votacao").isNotNull(), "DROP"),
-    Expectation("data_presente", F.col("data_votacao").isNotNull() | F.col("data_hora_registro").isNotNull(), "WARN"),
-    Expectation("orgao_presente", F.col("sigla_orgao") != "", "WARN"),
-    Expectation("data_na_legislatura", F.col("data_votacao") >= F.lit(V.FIRST_TERM_DAY).cast("date"), "WARN"),
-    Expectation("id_positivo", F.coalesce(F.col("id_votacao").try_cast("bigint") > 0, F.lit(True)), "FAIL"),
-]
+def votacoes_rules() -> list[Expectation]:
+    return [
+        Expectation("id_presente", F.col("id_votacao").isNotNull(), "DROP"),
+        Expectation("data_presente", F.col("data_votacao").isNotNull() | F.col("data_hora_registro").isNotNull(), "WARN"),
+        Expectation("orgao_presente", F.col("sigla_orgao") != "", "WARN"),
+        Expectation("data_na_legislatura", F.col("data_votacao") >= F.lit(V.FIRST_TERM_DAY).cast("date"), "WARN"),
+        Expectation("id_positivo", F.coalesce(F.col("id_votacao").try_cast("bigint") > 0, F.lit(True)), "FAIL"),
+    ]
 
 
 def votacoes_quality(votacoes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Clean vote sessions, and the report that is to be enforced before they are written."""
     rows = keys.standardize(keys.project(votacoes, VOTACOES), ["sigla_orgao"])
-    clean, report = quality.expect(rows, VOTACOES_RULES)
+    clean, report = quality.expect(rows, votacoes_rules())
     clean = keys.surrogate_key(clean, ["id_votacao"], "sk_votacao")
     return keys.dedup_keep_first(clean, ["id_votacao"], ["data_hora_registro", "data_votacao", "proposicao_objeto"]), report
 
