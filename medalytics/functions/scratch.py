@@ -4,7 +4,7 @@ import tempfile
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,10 +51,15 @@ class Stored:
 
 
 def store(df: DataFrame, tag: str = "table") -> Stored:
-    """Write `df` to the shared folder and read it back with its row count and size."""
+    """Write `df` to the shared folder and read it back with its row count and size.
+
+    Both are counted while writing; work that Spark repeats can only make them larger, so a size
+    found small enough is small enough.
+    """
     spark = df.sparkSession
     path = new_path(spark, tag)
-    df.write.parquet(path)
-    back = spark.read.schema(df.schema).parquet(path)
-    size = back.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df.schema)).alias("b")).first()
-    return Stored(back, size["n"], size["b"] or 0)
+    seen = Observation()
+    size = [F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df.schema)).alias("b")]
+    df.observe(seen, *size).write.parquet(path)
+    found = seen.get
+    return Stored(spark.read.schema(df.schema).parquet(path), found.get("n") or 0, found.get("b") or 0)

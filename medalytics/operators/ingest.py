@@ -40,7 +40,8 @@ def success_gate(requests: DataFrame, by: list[str], ok: Column, threshold: floa
 def error_histogram(requests: DataFrame, kind: Column, ok: Column, alert: float = V.ERROR_ALERT) -> DataFrame:
     """Failures per kind, most frequent first, with their share of all requests and the alert flag."""
     good = F.coalesce(ok, F.lit(False))
-    per_kind = requests.groupBy(F.when(~good, kind).alias("kind")).agg(F.count(F.lit(1)).alias("n_errors"))
+    failed_kind = F.when(~good, F.coalesce(kind, F.lit("unknown")))
+    per_kind = requests.groupBy(failed_kind.alias("kind")).agg(F.count(F.lit(1)).alias("n_errors"))
     return (
         per_kind.withColumn("error_rate", F.col("n_errors") / per_kind.agg(F.sum("n_errors")).scalar())
         .filter("kind IS NOT NULL")

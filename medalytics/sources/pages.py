@@ -13,7 +13,7 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_categories(spark: SparkSession, path: str) -> DataFrame:
-    """Pages of several categories, read at once; the directory `category=...` becomes a column."""
+    """Pages of several categories, read at once; their directories `name=value` become a column."""
     return spark.read.text(path, wholetext=True)
 
 

@@ -10,7 +10,7 @@ from ..functions.scratch import new_path
 from ..operators.incremental import CONTROL_SCHEMA
 from ..operators.ingest import with_audit
 from ..operators.merge import upsert
-from ..operators.runlog import LOG_SCHEMA
+from ..operators.runlog import LOG_SCHEMA, log_rows
 
 
 def first_available(spark: SparkSession, names: list[str]) -> DataFrame:
@@ -56,12 +56,18 @@ def _rows(spark: SparkSession, path: str) -> int:
 
 
 def write_bronze(df: DataFrame, path: str, source: str, mode: str = "overwrite", partition_by=None, batch_id=None) -> int:
-    """Raw rows with audit columns; an empty batch writes nothing."""
-    if df.isEmpty():
+    """Raw rows with audit columns; an empty batch changes nothing."""
+    if mode == "overwrite" and not partition_by and df.isEmpty():
         return 0
     return write_table(with_audit(df, source, batch_id), path, mode, partition_by)
 
 
+def append_log(spark: SparkSession, path: str, lines: list[dict]) -> int:
+    """Append the log lines of one run; missing fields are null, status follows from the level."""
+    full = [{f.name: line.get(f.name) for f in LOG_SCHEMA.fields} for line in lines]
+    return write_table(log_rows(spark.createDataFrame(full, LOG_SCHEMA)), path, "append")
+
+
 def write_gold(df: DataFrame, path: str) -> int:
     """Full recompute of a gold table with its processing time."""
     return write_table(df.withColumn("_processed_at", F.current_timestamp()), path)

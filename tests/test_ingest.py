@@ -3,6 +3,7 @@
 import itertools
 import json
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,6 +51,24 @@ def test_flatten_and_rescue(spark):
     assert pages.flatten_struct(nested, {"s": "status_", "s.g": "gab_"}).columns == ["id", "status_p", "gab_n"]
 
 
+def test_categories_become_a_column(spark, tmp_path):
+    for kind in ("PL", "PEC"):
+        (tmp_path / f"tipo={kind}").mkdir()
+        (tmp_path / f"tipo={kind}" / "p.json").write_text('{"dados": [{"id": 1}]}')
+    got = pages.explode_envelope(pages.read_categories(spark, str(tmp_path)), RECORD)
+    assert sorted((r["tipo"], r["id"]) for r in got.collect()) == [("PEC", 1), ("PL", 1)]
+
+
+def test_append_log(spark, tmp_path):
+    now = datetime(2024, 1, 1)
+    lines = [{"log_id": "1", "ts": now, "level": "ERROR", "error_stack": "s"}, {"log_id": "2", "ts": now, "level": "INFO", "affected": 5}]
+    for _ in range(2):
+        assert tables.append_log(spark, str(tmp_path / "log"), lines) == 2
+    log = spark.read.parquet(str(tmp_path / "log"))
+    assert {r["status"] for r in log.filter("level = 'ERROR'").collect()} == {"FALHA"} and log.count() == 4
+    assert runlog.recent(log, as_of=now).count() == 2 and runlog.runs(log).count() == 0
+
+
 def test_split_valid(spark):
     df = spark.createDataFrame([(1, "a"), (0, "a"), (2, ""), (None, None)], "id int, t string")
     valid, rejected = ingest.split_valid(df, ["id", "t"])
