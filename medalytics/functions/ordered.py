@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import store
+from .scratch import Stored, store
 from .skew import join_lookup
 
 
@@ -13,14 +13,19 @@ def running_total(df: DataFrame, order: list[str], value, out: str, parts: int |
     `order` should be unique: rows that tie stay in one range partition. The partitioned rows are
     written before their partition numbers are used, so a lost executor cannot change them.
     """
-    spark = df.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = store(
+    return _placed(df, order, value, out, parts).df
+
+
+def _placed(df, order, value, out, parts=None) -> Stored:
+    """The rows with their running sum, and the known size of the table that they come from."""
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stored = store(
         df.withColumn("__value", F.lit(value) if isinstance(value, int) else value)
         .repartitionByRange(parts, *order)
         .withColumn("__part", F.spark_partition_id()),
         "ranged",
-    ).df
+    )
+    ranged = stored.df
     # one row per range partition, so this window sees at most `parts` rows
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -29,21 +34,22 @@ def running_total(df: DataFrame, order: list[str], value, out: str, parts: int |
         .select("__part", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__before"))
     )
     inside = Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (
+    placed = (
         ranged.join(F.broadcast(offsets), "__part")
         .withColumn(out, F.col("__before") + F.sum("__value").over(inside))
         .drop("__part", "__value", "__before")
     )
+    return Stored(placed, stored.rows, stored.bytes)
 
 
 def percent_rank(df: DataFrame, column: str, out: str) -> DataFrame:
     """(rank - 1) / (rows - 1) of every row in the whole set; one row alone gets 0."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
-    placed = running_total(counts, [column], F.col("__n"), "__upto")
-    rows = placed.agg(F.sum("__n"))
+    placed = _placed(counts, [column], F.col("__n"), "__upto")
+    rows = placed.df.agg(F.sum("__n"))
     share = F.try_divide(F.col("__upto") - F.col("__n"), rows.scalar() - 1)
-    ranks = placed.select(column, F.coalesce(share, F.lit(0.0)).alias(out))
-    return join_lookup(df, ranks, [column])
+    ranks = placed.df.select(column, F.coalesce(share, F.lit(0.0)).alias(out))
+    return join_lookup(df, Stored(ranks, placed.rows, placed.bytes), [column])
 
 
 def running_total_by(df: DataFrame, by: list[str], order: str, chunk, sums: dict) -> DataFrame:

@@ -45,6 +45,8 @@ def row_bytes(schema: T.StructType):
 
 @dataclass(frozen=True)
 class Stored:
+    """Rows whose number and size are known."""
+
     df: DataFrame
     rows: int
     bytes: int

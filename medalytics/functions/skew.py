@@ -9,6 +9,7 @@ from .scratch import Stored, store
 
 BROADCAST_BYTES = 32 << 20
 SALTS = 64
+HOT_ROWS = 1_000_000
 
 
 def salt(columns, n: int = SALTS) -> Column:
@@ -43,3 +44,23 @@ def join_lookup(
     return left.join(right, same & (F.col("__salt") == F.col("__lookup_salt")), how).drop(
         "__salt", "__lookup_salt", *drop
     )
+
+
+def join_hot(
+    facts: DataFrame, other: DataFrame, on: list[str], hot_rows: int = HOT_ROWS, salts: int = SALTS
+) -> DataFrame:
+    """Inner join of many rows with many rows, with the keys of more than `hot_rows` facts spread.
+
+    A size-based split at run time sees the rows that go into a join; where a key meets many rows on
+    both sides it is the rows that come out that overload a task. Hot keys are counted first; their
+    facts are salted and their rows of `other` repeated per salt. Other keys are joined as they are.
+    """
+    many = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
+    hot = store(many.select(*on, F.lit(True).alias("__hot")), "hot")
+    if not hot.rows:
+        return facts.join(other, on)
+    spread = F.when(F.col("__hot"), salt(facts.columns, salts)).otherwise(0)
+    every = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    left = join_lookup(facts, hot, on).withColumn("__salt", spread).drop("__hot")
+    right = join_lookup(other, hot, on).withColumn("__salt", F.explode(every)).drop("__hot")
+    return left.join(right, [*on, "__salt"]).drop("__salt")

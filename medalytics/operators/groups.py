@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ordered import running_total
 from ..functions.scratch import store
-from ..functions.skew import join_lookup
+from ..functions.skew import HOT_ROWS, join_hot, join_lookup
 
 
 def hhi(edges: DataFrame, group: str, part: str) -> DataFrame:
@@ -53,27 +53,30 @@ def overlap_pairs(edges: DataFrame, group: str, member: str, heavy_degree: int =
     """
     edges = store(edges.select(group, member).dropna().distinct(), "edges").df
     degrees = edges.groupBy(member).agg(F.count(F.lit(1)).alias("__degree"))
-    heavy = degrees.filter(F.col("__degree") > heavy_degree).select(member)
-    numbered = running_total(heavy, [member], 1, "__no")
+    heavy = store(degrees.filter(F.col("__degree") > heavy_degree).select(member), "heavy")
+    if not heavy.rows:
+        return _pairs(edges, group, member, F.count(F.lit(1)))
+    numbered = running_total(heavy.df, [member], 1, "__no")
     marked = join_lookup(edges, numbered, [member])
-
-    a, b = f"{group}_a", f"{group}_b"
-
-    def pairs(side, on, shared):
-        left = side.withColumnRenamed(group, a)
-        right = side.select(on, F.col(group).alias(b), *[F.col(c).alias(f"__other{c}") for c in side.columns if c not in (on, group)])
-        return left.join(right, on).filter(F.col(a) < F.col(b)).groupBy(a, b).agg(shared.alias("shared"))
-
-    light_pairs = pairs(marked.filter("__no IS NULL").select(group, member), member, F.count(F.lit(1)))
+    light_pairs = _pairs(marked.filter("__no IS NULL").select(group, member), group, member, F.count(F.lit(1)))
     bit = F.expr("shiftleft(1L, CAST((__no - 1) % 62 AS INT))")
     masks = (
         marked.filter("__no IS NOT NULL")
         .groupBy(group, F.expr("(__no - 1) div 62").alias("__chunk"))
         .agg(F.bit_or(bit).alias("__mask"))
     )
-    both = F.bit_count(F.col("__mask").bitwiseAND(F.col("__other__mask"))).cast("bigint")
-    heavy_pairs = pairs(masks, "__chunk", F.sum(both)).filter("shared > 0")
-    return light_pairs.unionByName(heavy_pairs).groupBy(a, b).agg(F.sum("shared").alias("shared"))
+    both = F.bit_count(F.col("__mask").bitwiseAND(F.col("__other_mask"))).cast("bigint")
+    heavy_pairs = _pairs(masks, group, "__chunk", F.sum(both)).filter("shared > 0")
+    merged = light_pairs.unionByName(heavy_pairs)
+    return merged.groupBy(f"{group}_a", f"{group}_b").agg(F.sum("shared").alias("shared"))
+
+
+def _pairs(side: DataFrame, group: str, on: str, shared) -> DataFrame:
+    """Ordered pairs of groups that meet in `on`, summed before they are shuffled."""
+    a, b = f"{group}_a", f"{group}_b"
+    left = side.withColumnRenamed(group, a)
+    right = side.withColumnsRenamed({group: b, "__mask": "__other_mask"})
+    return left.join(right, on).filter(F.col(a) < F.col(b)).groupBy(a, b).agg(shared.alias("shared"))
 
 
 def majority(votes: DataFrame, group: str, session: str, choice: str) -> DataFrame:
@@ -86,6 +89,13 @@ def majority(votes: DataFrame, group: str, session: str, choice: str) -> DataFra
     )
 
 
+def votes_of_groups(
+    votes: DataFrame, edges: DataFrame, member: str, group: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Every vote once per group of its member."""
+    return join_hot(votes, edges.select(member, group), [member], hot_rows)
+
+
 def cohesion(votes: DataFrame, group: str, session: str, choice: str) -> DataFrame:
     """Mean, least and greatest share of the majority over the sessions of every group."""
     share = F.col("majority_votes") / F.col("total_votes")

@@ -190,8 +190,9 @@ def rounded_cohesion(df, group):
 
 
 def group_cohesion(spark, d):
-    edges = X.membership(spark, d).select("member_id", "group_id")
-    return groups.cohesion(votes(spark, d).join(edges, "member_id"), "group_id", "session_id", "choice")
+    cast = votes(spark, d).select("member_id", "session_id", "choice")
+    joined = groups.votes_of_groups(cast, X.membership(spark, d), "member_id", "group_id")
+    return groups.cohesion(joined, "group_id", "session_id", "choice")
 
 
 def party_cohesion(spark, d):

@@ -284,9 +284,8 @@ _COHESION_NAMES = {
 
 
 def coesao_frentes(votos: DataFrame, atlas: DataFrame) -> DataFrame:
-    joined = votos.select("id_deputado", "id_votacao", "tipo_voto_padronizado").join(
-        atlas.select("id_deputado", "id_frente"), "id_deputado"
-    )
+    cast = votos.select("id_deputado", "id_votacao", "tipo_voto_padronizado")
+    joined = groups.votes_of_groups(cast, atlas, "id_deputado", "id_frente")
     found = groups.cohesion(joined, "id_frente", "id_votacao", "tipo_voto_padronizado")
     return (
         groups.with_label(found, atlas, "id_frente", "titulo_frente")

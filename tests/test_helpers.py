@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from medalytics.functions import ordered, scratch, skew
+from medalytics.operators import ingest
 
 
 def rows(df):
@@ -72,3 +73,37 @@ def test_store_knows_rows_and_size(spark):
 
 def test_shared_root_follows_the_session(spark):
     assert scratch.shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+@pytest.mark.parametrize("hot_rows", [10, 10_000])
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_join_hot_is_a_plain_join(spark, hot_rows, limit, monkeypatch):
+    """A third of the facts share a key; hot and plain way, broadcast or salted, give the same rows."""
+    monkeypatch.setattr(skew.join_lookup, "__defaults__", ("left", limit, 4))
+    key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 5 != 0, F.col("id") % 100)
+    facts = spark.range(300).select("id", key.alias("k"))
+    other = spark.range(150).select((F.col("id") % 40).alias("k"), F.col("id").alias("o"))
+    got = skew.join_hot(facts, other, ["k"], hot_rows, 4)
+    assert rows(got.select("k", "id", "o")) == rows(facts.join(other, "k").select("k", "id", "o"))
+
+
+def test_hot_parent_is_split_at_run_time(spark):
+    """Adaptive execution splits a skewed partition of a join between two shuffled sides."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        children = spark.range(0, 90_000, 1, 16).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("k"), "id")
+        parents = spark.range(5000).select(F.col("id").alias("k"), F.lit("p").alias("name"))
+        joined = ingest.tag_children(parents, children, "k", {"name": "name"})
+        assert len(joined.collect()) == 90_000
+        assert "SortMergeJoin(skew=true)" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
