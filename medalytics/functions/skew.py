@@ -1,4 +1,4 @@
-"""Joins against one-row-per-key tables that stay balanced when a key holds a large share of the rows."""
+"""Joins that stay balanced when a key holds a large share of the rows."""
 
 from functools import reduce
 
@@ -10,6 +10,7 @@ from .scratch import Stored, store
 BROADCAST_BYTES = 32 << 20
 SALTS = 64
 HOT_ROWS = 1_000_000
+HOT_KEYS = 10_000
 
 
 def salt(columns, n: int = SALTS) -> Column:
@@ -24,43 +25,54 @@ def join_lookup(
     on: list[str],
     how: str = "left",
     max_broadcast_bytes: int = BROADCAST_BYTES,
+    hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join `facts` with the few rows per key of `lookup`; null keys equal each other.
+    """Join `facts` (left or inner) with the few rows per key of `lookup`; null keys equal each other.
 
     The lookup is computed once and written, so its size is known: up to the limit it is broadcast
-    and the facts are not shuffled, beyond it the facts are salted and the lookup is repeated per salt.
+    and the facts are not shuffled, beyond it both sides are shuffled and hot keys are spread.
     """
     stored = lookup if isinstance(lookup, Stored) else store(lookup, "lookup")
-    right = stored.df.select(
-        *[F.col(k).alias(f"__{k}") for k in on], *[c for c in stored.df.columns if c not in on]
-    )
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in on])
-    drop = [f"__{k}" for k in on]
     if stored.bytes <= max_broadcast_bytes:
-        return facts.join(F.broadcast(right), same, how).drop(*drop)
-    left = facts.withColumn("__salt", salt(facts.columns, salts))
-    right = right.withColumn("__lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, same & (F.col("__salt") == F.col("__lookup_salt")), how).drop(
-        "__salt", "__lookup_salt", *drop
-    )
+        return _join(facts, stored.df, on, how, null_safe=True, broadcast=True)
+    return _join_spread(facts, stored.df, on, how, True, hot_rows, salts)
 
 
-def join_hot(
-    facts: DataFrame, other: DataFrame, on: list[str], hot_rows: int = HOT_ROWS, salts: int = SALTS
-) -> DataFrame:
-    """Inner join of many rows with many rows, with the keys of more than `hot_rows` facts spread.
+def join_hot(facts: DataFrame, other: DataFrame, on: list[str], hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
+    """Inner join of many rows with many rows, with hot keys spread; null keys match nothing.
 
     A size-based split at run time sees the rows that go into a join; where a key meets many rows on
-    both sides it is the rows that come out that overload a task. Hot keys are counted first; their
-    facts are salted and their rows of `other` repeated per salt. Other keys are joined as they are.
+    both sides it is the rows that come out that overload a task.
     """
-    many = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
-    hot = store(many.select(*on, F.lit(True).alias("__hot")), "hot")
+    return _join_spread(facts, other, on, "inner", False, hot_rows, salts)
+
+
+def hot_keys(facts: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> Stored:
+    """The keys of more than `hot_rows` rows, at most HOT_KEYS of them, the hottest first."""
+    counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
+    return store(counts.orderBy(F.col("__n").desc()).limit(HOT_KEYS).select(*on, F.lit(True).alias("__hot")), "hot")
+
+
+def _join(left, right, on, how, null_safe, broadcast=False):
+    right = right.withColumnsRenamed({k: f"__key_{k}" for k in on})
+    names = [(F.col(k), F.col(f"__key_{k}")) for k in on]
+    same = reduce(lambda a, b: a & b, [a.eqNullSafe(b) if null_safe else a == b for a, b in names])
+    return left.join(F.broadcast(right) if broadcast else right, same, how).drop(*[f"__key_{k}" for k in on])
+
+
+def _join_spread(facts, other, on, how, null_safe, hot_rows, salts):
+    """Salt the facts of hot keys and repeat only the rows of these keys on the other side."""
+    hot = hot_keys(facts, on, hot_rows)
     if not hot.rows:
-        return facts.join(other, on)
+        return _join(facts, other, on, how, null_safe)
     spread = F.when(F.col("__hot"), salt(facts.columns, salts)).otherwise(0)
     every = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    left = join_lookup(facts, hot, on).withColumn("__salt", spread).drop("__hot")
-    right = join_lookup(other, hot, on).withColumn("__salt", F.explode(every)).drop("__hot")
-    return left.join(right, [*on, "__salt"]).drop("__salt")
+
+    def marked(df):
+        # at most HOT_KEYS rows are broadcast
+        return _join(df, hot.df, on, "left", null_safe=True, broadcast=True)
+
+    left = marked(facts).withColumn("__salt", spread).drop("__hot")
+    right = marked(other).withColumn("__salt", F.explode(every)).drop("__hot")
+    return _join(left, right, [*on, "__salt"], how, null_safe).drop("__salt")

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.skew import join_lookup
 from .merge import upsert
 
 CONTROL_SCHEMA = T.StructType(
@@ -59,7 +60,7 @@ def newer_than_each(df: DataFrame, marks: DataFrame, by: str, column: str, value
     """Rows after the watermark of their own endpoint; endpoints without one are new and kept."""
     marks = marks.select(by, F.col(value).cast(df.schema[column].dataType).alias("__mark"))
     return (
-        df.join(marks, by, "left")
+        join_lookup(df, marks, [by])
         .filter(F.col("__mark").isNull() | (F.col(column) > F.col("__mark")))
         .drop("__mark")
     )

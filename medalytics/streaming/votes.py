@@ -28,7 +28,8 @@ def file_stream(spark: SparkSession, root: str, table: str, files_per_batch: int
     reader = spark.readStream.schema(static.schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    if static.inputFiles()[0].rstrip("/").endswith(f"/{table}.parquet"):
+    one = static.select("_metadata.file_path").first()
+    if one and one["file_path"].endswith(f"/{table}.parquet"):
         return reader.option("pathGlobFilter", f"{table}.parquet").parquet(root)
     return reader.parquet(path)
 

@@ -14,16 +14,16 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("limit", [0, 1 << 20])
+@pytest.mark.parametrize("limit, hot_rows", [(1 << 20, 0), (0, 100), (0, 10_000)])
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_join_lookup_is_the_same_on_both_ways(spark, limit, how):
-    """A third of the rows share a key; null keys meet; the broadcast and the salted way agree."""
+def test_join_lookup_is_the_same_on_all_ways(spark, limit, hot_rows, how):
+    """A third of the rows share a key; null keys meet; broadcast, spread and plain ways agree."""
     facts = spark.range(3000).select(
         "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 != 0, F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("k")
     )
     lookup = facts.filter("k IS NULL OR k <> 'k1'").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     want = {r["k"]: r["n"] for r in lookup.collect()}
-    got = skew.join_lookup(facts, lookup, ["k"], how, max_broadcast_bytes=limit, salts=4).collect()
+    got = skew.join_lookup(facts, lookup, ["k"], how, max_broadcast_bytes=limit, hot_rows=hot_rows, salts=4).collect()
     expected = {r["id"]: want.get(r["k"]) for r in facts.collect() if how == "left" or r["k"] in want}
     assert {r["id"]: r["n"] for r in got} == expected
     assert len(got) == len(expected)
@@ -34,10 +34,12 @@ def test_salt_spreads_equal_rows(spark):
     assert copies.select(skew.salt(["a"], 8).alias("s")).distinct().count() > 3
 
 
-def test_salted_way_does_not_broadcast(spark):
-    facts = spark.range(100).withColumn("k", F.col("id") % 3)
-    plan = skew.join_lookup(facts, facts.groupBy("k").count(), ["k"], max_broadcast_bytes=0)._jdf.queryExecution().optimizedPlan().toString()
-    assert "__lookup_salt" in plan and "broadcast" not in plan.lower()
+def test_only_hot_keys_are_repeated(spark):
+    """Beyond the limit the facts meet the lookup by key and salt; only rows of hot keys are repeated."""
+    facts = spark.range(100).withColumn("k", F.when(F.col("id") < 40, 0).otherwise(F.col("id")))
+    assert [r["k"] for r in skew.hot_keys(facts, ["k"], 30).df.collect()] == [0]
+    plan = skew.join_lookup(facts, facts.groupBy("k").count(), ["k"], max_broadcast_bytes=0, hot_rows=30)._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salt" in plan and plan.count("rightHint=(strategy=broadcast)") == 2
 
 
 @pytest.mark.parametrize("parts", [1, 3, 8])
@@ -76,13 +78,11 @@ def test_shared_root_follows_the_session(spark):
 
 
 @pytest.mark.parametrize("hot_rows", [10, 10_000])
-@pytest.mark.parametrize("limit", [0, 1 << 20])
-def test_join_hot_is_a_plain_join(spark, hot_rows, limit, monkeypatch):
-    """A third of the facts share a key; hot and plain way, broadcast or salted, give the same rows."""
-    monkeypatch.setattr(skew.join_lookup, "__defaults__", ("left", limit, 4))
+def test_join_hot_is_a_plain_join(spark, hot_rows):
+    """A third of the facts share a key, some keys are null; the spread and the plain way give the same rows."""
     key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 5 != 0, F.col("id") % 100)
     facts = spark.range(300).select("id", key.alias("k"))
-    other = spark.range(150).select((F.col("id") % 40).alias("k"), F.col("id").alias("o"))
+    other = spark.range(150).select(F.when(F.col("id") % 7 != 0, F.col("id") % 40).alias("k"), F.col("id").alias("o"))
     got = skew.join_hot(facts, other, ["k"], hot_rows, 4)
     assert rows(got.select("k", "id", "o")) == rows(facts.join(other, "k").select("k", "id", "o"))
 
