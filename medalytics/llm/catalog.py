@@ -2,7 +2,9 @@
 
 import string
 
-from . import linededup, warc
+from pyspark.sql import functions as F
+
+from . import linededup, simhash, warc
 from .shared import table
 
 QUERIES = {}
@@ -37,6 +39,12 @@ def op2_warc(spark, folder):
     return warc.read_back(warc.write_archive(table(spark, folder, "pages")))
 
 
+@query("op3_simhash")
+def op3_simhash(spark, folder):
+    groups = simhash.near_groups(table(spark, folder, "documents"))
+    return groups.select(F.col("id").alias("doc_id"), simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 OP8_SQL = f"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
 l AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM d),

@@ -1,5 +1,6 @@
 """Connected components by alternating large-star and small-star rounds, all as joins and aggregates."""
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,3 +55,21 @@ def _star(links, kind):
     result = stage_at(moved.filter("a <> b").distinct(), "stars")
     remove(spark, path)
     return result
+
+
+def local_stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of one task as stars: (node, least node of its part) of every node that is not that least one."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    left, right = ends[: len(a)], ends[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        least = np.minimum(root[left], root[right])
+        following = root.copy()
+        np.minimum.at(following, root[left], least)
+        np.minimum.at(following, root[right], least)
+        following = following[following]
+        if (following == root).all():
+            break
+        root = following
+    moved = root != np.arange(len(nodes))
+    return nodes[moved], nodes[root[moved]]
