@@ -4,7 +4,7 @@ import string
 
 from pyspark.sql import functions as F
 
-from . import linededup, simhash, warc
+from . import linededup, simhash, suffixdedup, warc
 from .shared import table
 
 QUERIES = {}
@@ -21,6 +21,11 @@ def query(name, sql=None):
     return keep
 
 
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark, folder):
+    return suffixdedup.report(suffixdedup.remove_repeats(table(spark, folder, "documents")))
+
+
 OP2_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 f AS (SELECT body, min(page_id) AS owner FROM p GROUP BY body),
