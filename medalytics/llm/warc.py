@@ -66,10 +66,12 @@ def write_archive(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> Archi
     owners = owners.select("digest", F.when(F.col("least") == F.col("most"), F.col("owner")).otherwise(differ).alias("owner"))
     owners = stage(owners, "warc-owners")
 
-    first = owners.select(F.col("digest").alias("d"), F.col("owner").alias("o"))
-    bodies = raw.select("page_id", strong.alias("digest"), "payload")
-    bodies = bodies.join(first, (F.col("digest") == F.col("d")) & F.col("page_id").eqNullSafe(F.col("o")))
-    payloads = stage(bodies.select("digest", "page_id", "payload").dropDuplicates(["digest", "page_id"]).select("digest", "payload"), "warc-payloads")
+    def place(page):  # never null, so that the join's partitioning also serves to drop repeated rows
+        return F.coalesce(page.cast("string"), F.lit("")).alias("place")
+
+    bodies = raw.select(strong.alias("digest"), place(F.col("page_id")), "payload")
+    bodies = bodies.join(owners.select("digest", place(F.col("owner"))), ["digest", "place"])
+    payloads = stage(bodies.dropDuplicates(["digest", "place"]).select("digest", "payload"), "warc-payloads")
 
     typed = meta.join(owners, "digest")
     response = F.col("page_id").eqNullSafe(F.col("owner"))
