@@ -4,7 +4,7 @@ import string
 
 from pyspark.sql import functions as F
 
-from . import ann, hnsw, linededup, simhash, suffixdedup, warc
+from . import ann, hnsw, langid, linededup, secretscan, simhash, suffixdedup, warc
 from .shared import table
 
 QUERIES = {}
@@ -101,3 +101,16 @@ FROM m GROUP BY doc_id
 @query("op8_line_dedup", OP8_SQL)
 def op8_line_dedup(spark, folder):
     return linededup.report(linededup.dedup_lines(table(spark, folder, "documents")))
+
+
+@query("op9_secrets")
+def op9_secrets(spark, folder):
+    return secretscan.report(secretscan.find_secrets(table(spark, folder, "documents")))
+
+
+@query("op10_language")
+def op10_language(spark, folder):
+    docs = table(spark, folder, "documents")
+    found = langid.identify(docs, langid.learned_from(docs), keep=["doc_id"])
+    held_out = F.coalesce(langid.remainder(F.col("row.doc_id")) == 1, F.lit(False))
+    return found.select("row.doc_id", held_out.alias("held_out"), "lang_pred", "score")
