@@ -1,12 +1,16 @@
 """The registered queries of the operators, with SQL where SQL can express them."""
 
+import os
 import string
 
 from pyspark.sql import functions as F
 
-from . import ann, hnsw, langid, linededup, secretscan, simhash, suffixdedup, warc
+from . import ann, hnsw, langid, linededup, mixing, pieces, secretscan, simhash, suffixdedup, warc
 from .shared import table
 
+#: A file of pieces with byte fallback; any other may be given to `pieces.vocabulary`.
+VOCABULARY = os.environ.get("PIECES_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
 QUERIES = {}
 ORACLES = {}
 
@@ -50,6 +54,11 @@ def op3_simhash(spark, folder):
     return groups.select(F.col("id").alias("doc_id"), simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query("op4_sentencepiece")
+def op4_sentencepiece(spark, folder):
+    return pieces.sampled(table(spark, folder, "documents"), pieces.vocabulary(VOCABULARY))
+
+
 OP5_SQL = """
 WITH v AS (SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
@@ -66,6 +75,12 @@ def op5_ann(spark, folder):
     return ann.search(table(spark, folder, "embeddings"), lambda i: i % 20 == 0)
 
 
+@query("op6_mixing")
+def op6_mixing(spark, folder):
+    mixed = mixing.mix(table(spark, folder, "documents"), keep=["doc_id", "source"])
+    return mixed.select("row.doc_id", "row.source", "n_tokens", "epoch", "block", "place")
+
+
 OP7_SQL = """
 WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 good AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0
