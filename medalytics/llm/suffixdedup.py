@@ -7,6 +7,7 @@ suffixes, in blocks that hold whole grams. Nothing is sampled: the anchors only
 """
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ class Anchors:
         return np.multiply.accumulate(steps)
 
     def cut(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-        """Pieces of the texts data[starts:ends] as (text, first start, number of starts, gram hash)."""
+        """Pieces of the texts data[starts:ends] as (text, first start, number of starts, gram hash, place of the gram)."""
         long = ends - starts >= self.length
         which, starts, ends = np.flatnonzero(long), starts[long], ends[long]
         parts, i = [], 0
@@ -55,10 +56,11 @@ class Anchors:
                 stop = min(ends[j - 1], at + self.block + self.length - 1) if j == i + 1 else ends[j - 1]
                 if stop - at >= self.length:
                     first = np.maximum(starts[i:j], at) - at
-                    text, lo, n, gram = self._block(data[at:stop], first, np.minimum(ends[i:j], stop) - at)
-                    parts.append((which[i + text], lo + at - starts[i + text], n, gram))
+                    text, lo, n, gram, place = self._block(data[at:stop], first, np.minimum(ends[i:j], stop) - at)
+                    move = at - starts[i + text]
+                    parts.append((which[i + text], lo + move, n, gram, place + move))
             i = j
-        return [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0, np.int64)] * 4
+        return [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0, np.int64)] * 5
 
     def _block(self, data, starts, ends):
         gram, wide = self.gram, self.length - self.gram + 1
@@ -85,7 +87,7 @@ class Anchors:
         begins = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (valid[1:] != valid[:-1] + 1)])
         lo = valid[begins]
         counts = np.diff(np.r_[begins, len(valid)])
-        return np.searchsorted(starts, lo, "right") - 1, lo, counts, hashed[at[begins]].view(np.int64)
+        return np.searchsorted(starts, lo, "right") - 1, lo, counts, hashed[at[begins]].view(np.int64), at[begins]
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
@@ -186,15 +188,54 @@ def _bytes_of(column):
 
 
 RANGE = "body binary, lo long, hi long"
+PIECE = "body binary, lo long, n long, at long, gram long, digest binary"
+BANDS = (64, 16, 4, 1)
+
+
+def _digest(data, size=16):
+    return hashlib.blake2b(data, digest_size=size).digest()
+
+
+def _bands(rows, length, width):
+    """Cut pieces into bands of starts by their distance to the gram, filed under what all strings of a band hold.
+
+    The strings of starts within `width` of each other share all but width - 1 bytes, so equal strings
+    meet under the same shared bytes. At width 1 that is the whole string.
+    """
+    for row in rows:
+        first, last = row["at"] - (row["lo"] + row["n"] - 1), row["at"] - row["lo"]
+        for band in range(first // width, last // width + 1):
+            near, far = max(first, band * width), min(last, band * width + width - 1)
+            lo = row["at"] - far
+            piece = row["piece"][lo - row["lo"] : row["at"] - near - row["lo"] + length]
+            held = row["at"] - band * width - row["lo"]
+            core = row["piece"][held : held + length - width + 1]
+            gram = int.from_bytes(_digest(b"%d:" % band + core, 8), "big", signed=True)
+            yield row["body"], lo, far - near + 1, row["at"], gram, _digest(b"%d:" % (far % width) + piece), row["single"], piece
+
+
+def _rivals(pieces: DataFrame, length: int):
+    """Split the pieces of common grams: (kinds, whole ranges, rivals).
+
+    Equal pieces of one gram are repeated whole. `rivals` has one piece of each kind of a gram that
+    several different kinds share, and whether it is the only one.
+    """
+    kinds = pieces.groupBy("gram", "digest").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("body", "lo", "n", "at")).alias("one"))
+    kinds = stage(kinds.select("gram", "digest", "copies", "one.*"), "kinds")
+    twice = kinds.filter("copies > 1").select("gram", "digest")
+    whole = pieces.join(twice, ["gram", "digest"]).select("body", "lo", (F.col("lo") + F.col("n") + length - 1).alias("hi"), *[c for c in pieces.columns if c == "single"])
+    several = stage(kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"), "several")
+    rivals = kinds.join(several, "gram").select("gram", "kinds", "digest", "body", "lo", "n", "at", (F.col("copies") == 1).alias("single"))
+    return whole, stage(rivals, "rivals")
 
 
 def repeated_ranges(docs: DataFrame, text_col: str, length: int = 400, gram: int = 128, max_kinds: int = 512) -> DataFrame:
     """(body, lo, hi): byte ranges covered by strings of `length` bytes that start elsewhere too.
 
     `body` is the MD5 of a text; a range holds for every row of that text. Pieces that occur twice are
-    repeated as a whole. Grams with up to `max_kinds` different pieces are suffix-sorted; a more common
-    gram (a short line in millions of contexts) would be one huge group, so its pieces are cut into single
-    starts, whose strings meet by digest instead.
+    repeated as a whole. Grams with up to `max_kinds` different pieces are suffix-sorted. A more common gram
+    (a short line in millions of contexts) would be one huge group: its pieces are cut into ever narrower
+    bands of starts, filed under the longer strings that all of a band hold, until few kinds are left of each.
     """
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     bodies = docs.select(F.unhex(F.md5(text)).alias("body"), text.alias("text"))
@@ -205,34 +246,54 @@ def repeated_ranges(docs: DataFrame, text_col: str, length: int = 400, gram: int
         for batch in batches:
             data, offsets = _bytes_of(batch.column("text"))
             view = memoryview(data)
-            which, lo, n, hashed = anchors.cut(data, offsets[:-1], offsets[1:])
+            which, lo, n, hashed, place = anchors.cut(data, offsets[:-1], offsets[1:])
             for at in range(0, len(which), 1 << 16):
                 part = slice(at, at + (1 << 16))
                 begins = (offsets[which[part]] + lo[part]).tolist()
-                digests = [hashlib.blake2b(view[b : b + k], digest_size=16).digest() for b, k in zip(begins, (n[part] + length - 1).tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("body").take(pa.array(which[part])), pa.array(lo[part]), pa.array(n[part]), pa.array(hashed[part]), pa.array(digests, pa.binary())],
-                    ["body", "lo", "n", "gram", "digest"],
-                )
+                digests = [_digest(view[b : b + k]) for b, k in zip(begins, (n[part] + length - 1).tolist())]
+                columns = [batch.column("body").take(pa.array(which[part])), *[pa.array(x[part]) for x in (lo, n, place, hashed)], pa.array(digests, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["body", "lo", "n", "at", "gram", "digest"])
 
-    every = stage(bodies.mapInArrow(cut, "body binary, lo long, n long, gram long, digest binary"), "pieces")
+    every = stage(bodies.mapInArrow(cut, PIECE), "pieces")
     common = stage(every.groupBy("gram").count().filter("count > 1").select("gram"), "common-grams")
-    pieces = stage(every.join(common, "gram"), "common-pieces")
-    kinds = pieces.groupBy("gram", "digest").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("body", "lo", "n")).alias("one"))
-    kinds = stage(kinds.select("gram", "digest", "copies", "one.*"), "kinds")
-    twice = kinds.filter("copies > 1").select("gram", "digest")
-    whole = pieces.join(twice, ["gram", "digest"]).select("body", "lo", (F.col("lo") + F.col("n") + length - 1).alias("hi"))
-
-    several = stage(kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"), "several")
-    rivals = stage(kinds.join(several, "gram").select("gram", "kinds", "body", "lo", "n", (F.col("copies") == 1).alias("single")), "rivals")
+    whole, rivals = _rivals(stage(every.join(common, "gram"), "common-pieces"), length)
     # one copy of each text: partial aggregates leave at most one for every task before the shuffle
     texts = bodies.groupBy("body").agg(F.first("text").alias("text"))
     piece = F.substr(F.col("text"), (F.col("lo") + 1).cast("int"), (F.col("n") + length - 1).cast("int"))
-    cuts = stage(rivals.join(texts, "body").select("gram", "kinds", "body", "lo", "single", piece.alias("piece")), "rival-pieces")
+    rivals = stage(rivals.join(texts, "body").select("gram", "kinds", "body", "lo", "n", "at", "single", piece.alias("piece")), "rival-pieces")
 
-    def ranges(batch_rows, hits):
-        found = [(row["body"], row["lo"] + a, row["lo"] + b + length) for row, hit in zip(batch_rows, hits) if row["single"] and len(hit) for a, b in zip(*_runs(hit))]
-        body, lo, hi = zip(*found) if found else ((), (), ())
+    found = [whole, _sorted_ranges(rivals.filter(F.col("kinds") <= max_kinds), length)]
+    for width in BANDS:
+        hot = rivals.filter(F.col("kinds") > max_kinds)
+        if hot.isEmpty():
+            break
+
+        def split(batches, width=width):
+            for batch in batches:
+                for at in range(0, batch.num_rows, 500):
+                    columns = list(zip(*_bands(batch.slice(at, 500).to_pylist(), length, width)))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, banded)], schema=banded)
+
+        banded = pa.schema(
+            [("body", pa.binary()), ("lo", pa.int64()), ("n", pa.int64()), ("at", pa.int64()), ("gram", pa.int64()), ("digest", pa.binary()), ("single", pa.bool_()), ("piece", pa.binary())]
+        )
+        bands = stage(hot.select("body", "lo", "n", "at", "single", "piece").mapInArrow(split, PIECE + ", single boolean, piece binary"), "bands")
+        whole, kept = _rivals(bands.drop("piece"), length)
+        found.append(whole.filter("single").drop("single"))
+        kept = kept.withColumnRenamed("single", "alone")
+        rivals = bands.join(kept.select("gram", "digest", "body", "lo", "kinds", "alone"), ["gram", "digest", "body", "lo"])
+        rivals = stage(rivals.select("gram", "kinds", "body", "lo", "n", "at", (F.col("single") & F.col("alone")).alias("single"), "piece"), "rival-pieces")
+        found.append(_sorted_ranges(rivals.filter(F.col("kinds") <= max_kinds), length))
+    return reduce(DataFrame.union, found)
+
+
+def _sorted_ranges(rivals: DataFrame, length: int) -> DataFrame:
+    """Ranges that suffix sorting finds in the pieces marked `single`, in blocks of whole grams."""
+
+    def ranges(rows):
+        hits = repeated_starts([r["piece"] for r in rows], length)
+        spans = [(row["body"], row["lo"] + a, row["lo"] + b + length) for row, hit in zip(rows, hits) if row["single"] and len(hit) for a, b in zip(*_runs(hit))]
+        body, lo, hi = zip(*spans) if spans else ((), (), ())
         return pa.RecordBatch.from_arrays([pa.array(body, pa.binary()), pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], ["body", "lo", "hi"])
 
     def sort(batches):
@@ -240,31 +301,15 @@ def repeated_ranges(docs: DataFrame, text_col: str, length: int = 400, gram: int
         for batch in batches:
             for row in batch.to_pylist():
                 if size >= SORT_BLOCK and row["gram"] != rows[-1]["gram"]:
-                    yield ranges(rows, repeated_starts([r["piece"] for r in rows], length))
+                    yield ranges(rows)
                     rows, size = [], 0
                 rows.append(row)
                 size += len(row["piece"])
         if rows:
-            yield ranges(rows, repeated_starts([r["piece"] for r in rows], length))
+            yield ranges(rows)
 
-    sortable = cuts.filter(F.col("kinds") <= max_kinds).select("gram", "body", "lo", "single", "piece")
-    sorted_ranges = sortable.repartition("gram").sortWithinPartitions("gram").mapInArrow(sort, RANGE)
-
-    def units(batches):
-        for batch in batches:
-            rows = batch.to_pylist()
-            for at in range(0, len(rows), 64):
-                some = rows[at : at + 64]
-                counts = np.array([len(r["piece"]) - length + 1 for r in some])
-                digests = [hashlib.blake2b(r["piece"][i : i + length], digest_size=16).digest() for r, k in zip(some, counts) for i in range(k)]
-                of = pa.array(np.repeat(np.arange(at, at + len(some)), counts))
-                lo = np.concatenate([r["lo"] + np.arange(k) for r, k in zip(some, counts)])
-                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), batch.column("body").take(of), pa.array(lo), batch.column("single").take(of)], ["unit", "body", "lo", "single"])
-
-    unit = stage(cuts.filter(F.col("kinds") > max_kinds).mapInArrow(units, "unit binary, body binary, lo long, single boolean"), "units")
-    again = stage(unit.groupBy("unit").count().filter("count > 1").select("unit"), "repeated-units")
-    unit_ranges = unit.filter("single").join(again, "unit").select("body", "lo", (F.col("lo") + length).alias("hi"))
-    return whole.union(sorted_ranges).union(unit_ranges)
+    rows = rivals.select("gram", "body", "lo", "single", "piece")
+    return rows.repartition("gram").sortWithinPartitions("gram").mapInArrow(sort, RANGE)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, **options) -> DataFrame:
