@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 SPACE_MARK = "▁"
 SLOT_BITS = 19
-BLOCK = 1 << 22
+BLOCK = 1 << 19
 PLACE_BITS = 32
 
 
@@ -281,7 +281,7 @@ def sampled(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", tex
 
     def encode(batches):
         sampler = Sampler(vocabulary, alpha)
-        for batch in batches:
+        for batch in (whole.slice(at, 500) for whole in batches for at in range(0, whole.num_rows, 500)):
             texts, seeds = batch.column("text").to_pylist(), batch.column("seed").to_numpy()
             i = 0
             while i < len(texts):

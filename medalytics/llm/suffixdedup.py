@@ -209,7 +209,7 @@ def _bands(rows, length, width):
             lo = row["at"] - far
             piece = row["piece"][lo - row["lo"] : row["at"] - near - row["lo"] + length]
             held = row["at"] - band * width - row["lo"]
-            core = row["piece"][held : held + length - width + 1]
+            core = row["piece"][held : held + max(0, length - width + 1)]
             gram = int.from_bytes(_digest(b"%d:" % band + core, 8), "big", signed=True)
             yield row["body"], lo, far - near + 1, row["at"], gram, _digest(b"%d:" % (far % width) + piece), row["single"], piece
 
