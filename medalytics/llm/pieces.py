@@ -142,13 +142,12 @@ class Sampler:
             begins.append(node[fits])
             ends.append(node[fits] + length)
             piece.append(ids)
-            weight.append(self.v.log_p[ids])
+            weight.append(self.v.log_p[ids] * self.alpha)
         ends.append(node + 1)
         begins.append(node)
         piece.append(self.v.fallback[data])
         weight.append(np.full(len(node), self.v.floor))
         end, begin, piece, weight = (np.concatenate(x) for x in (ends, begins, piece, weight))
-        weight = weight * self.alpha
         order = np.argsort(end, kind="stable")
         end, begin, piece, weight = end[order], begin[order], piece[order], weight[order]
 
@@ -267,11 +266,11 @@ def _next_space(text, low):
     return -1
 
 
-def sampled(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text", alpha: float = 1.0, seed: int = 5) -> DataFrame:
+def sampled(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text", alpha: float = 0.25, seed: int = 5) -> DataFrame:
     """(doc_id, n_bytes, n_pieces, ids, lossless) per row.
 
-    `ids` is one segmentation, drawn with the chance that its pieces' weights to the power `alpha` give it;
-    the draws follow the row's id and the seed, so a row gets the same one in every run and every place.
+    `ids` is one segmentation, drawn with the chance that its pieces' weights to the power `alpha` give it
+    (1: by the weights, near 0: all alike); the draws follow the row's id and the seed, so a row gets the same one in every run and every place.
     `lossless` says that decoding gave the text's bytes back (it does, whatever the text holds). Null and
     empty texts have no pieces; rows without an id share one series of draws. Other columns are not read.
     """
