@@ -30,6 +30,12 @@ def digest(cols, sep: str = "||") -> Column:
     return F.md5(F.concat_ws(sep, *[F.col(c).cast("string") for c in cols]))
 
 
+def row_digest(cols) -> Column:
+    """md5 over the texts of `cols`, each with its length before it and `-` for a null, so no two rows read alike."""
+    texts = [F.col(c).cast("string") for c in cols]
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]))
+
+
 def first_rule(source: Column, rules, default) -> Column:
     """Label of the first rule that holds; a rule is (isin | contains | rlike, argument, label)."""
     tests = {"isin": source.isin, "contains": source.contains, "rlike": source.rlike}
@@ -75,9 +81,10 @@ def by_body(body: Column, critical: str = V.PLENARY_BODY) -> Column:
     )
 
 
-def week_index(day: Column, base: str = V.WEEK_BASE) -> Column:
+def week_index(day: Column, base: str | Column = V.WEEK_BASE) -> Column:
     """Number of the week since `base`; the quotient is cut toward zero, as an integer cast does."""
-    return (F.datediff(day, F.lit(base).cast("date")) / 7 + 1).cast("int")
+    start = base if isinstance(base, Column) else F.lit(base).cast("date")
+    return (F.datediff(day, start) / 7 + 1).cast("int")
 
 
 def election_period(year: Column, month: Column) -> Column:
@@ -123,5 +130,5 @@ def path_key(endpoint: Column, part: int = 3) -> Column:
 
 
 def canonical_hash(cols) -> Column:
-    """md5 of the record's JSON with its keys in order; absent values are left out."""
-    return F.md5(F.to_json(F.struct(*[F.col(c) for c in sorted(cols)])))
+    """md5 of the record's JSON with its keys in order; absent values stay as nulls."""
+    return F.md5(F.to_json(F.struct(*[F.col(c) for c in sorted(cols)]), {"ignoreNullFields": "false"}))

@@ -32,18 +32,23 @@ def calendar(events: DataFrame, attendance: DataFrame, event: str, start: str, e
     )
 
 
-def weekly_density(cal: DataFrame, date: str, kind: str, first: str, last: str) -> DataFrame:
-    """Events, attendants and kinds of every week from `first` to `last`; weeks without events are kept.
+def weekly_density(cal: DataFrame, date: str, kind: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Events, attendants and kinds of every week of the data; weeks without events are kept.
 
-    A week is numbered from `first`. Kinds are counted before their list is made, so a busy week
-    moves one row per kind.
+    A week is numbered from `first`, or from the first event. Without events before `first` or after
+    `last` the weeks run from the one to the other; events outside stretch the weeks, and events without
+    a date have a row of their own without a week, so all events are counted. Kinds are counted before
+    their list is made, so a busy week moves one row per kind.
     """
-    weeks = cal.sparkSession.range(1).select(
-        F.explode(F.sequence(F.lit(1), C.week_index(F.lit(last).cast("date"), first))).alias("week")
-    )
+    day = F.col(date).cast("date")
+    base = F.lit(first).cast("date") if first else cal.agg(F.min(day)).scalar()
+    week = C.week_index(day, base)
+    ends = cal.agg(F.min(week).alias("low"), F.max(week).alias("high"))
+    low = F.least("low", F.lit(1)) if first else F.col("low")
+    high = F.greatest("high", C.week_index(F.lit(last).cast("date"), base)) if last else F.col("high")
+    weeks = ends.select(F.explode(F.sequence(low, high)).alias("week"))
     weekly = (
-        cal.filter(F.col(date).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
-        .groupBy(C.week_index(F.col(date), first).alias("week"), kind)
+        cal.groupBy(week.alias("week"), kind)
         .agg(F.count(F.lit(1)).alias("n"), F.sum("n_present").alias("p"))
         .groupBy("week")
         .agg(
@@ -53,7 +58,7 @@ def weekly_density(cal: DataFrame, date: str, kind: str, first: str, last: str)
         )
     )
     return (
-        weeks.join(weekly, "week", "left")
+        weeks.join(weekly, "week", "full")
         .withColumn("n_events", F.coalesce("n_events", F.lit(0)))
         .withColumn("n_present", F.coalesce("n_present", F.lit(0)))
         .withColumn("mean_present", F.coalesce(F.try_divide("n_present", "n_events"), F.lit(0.0)))

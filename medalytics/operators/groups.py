@@ -11,20 +11,20 @@ from ..functions.skew import HOT_ROWS, join_hot, join_lookup
 def hhi(edges: DataFrame, group: str, part: str) -> DataFrame:
     """Herfindahl index of the parts of every group, number of parts and effective number.
 
-    The sum of squared shares is the sum of squared counts over the squared total, so neither a
-    window nor a join is needed after the counts.
+    The sum of squared shares is the sum of squared counts over the squared total, both whole numbers,
+    so neither a window nor a join is needed after the counts and the order of rows changes no digit.
     """
-    n = F.col("n").cast("double")
+    squares, total = F.sum(F.col("n") * F.col("n")).cast("double"), F.sum("n").cast("double") * F.sum("n")
     return (
         edges.groupBy(group, part)
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy(group)
         .agg(
             F.sum("n").alias("n_members"),
-            (F.sum(n * n) / (F.sum(n) * F.sum(n))).alias("hhi"),
+            (squares / total).alias("hhi"),
             F.count(part).alias("n_parts"),
+            (total / squares).alias("effective_parts"),
         )
-        .withColumn("effective_parts", 1 / F.col("hhi"))
     )
 
 

@@ -88,7 +88,7 @@ def period_plan_each(marks: DataFrame, by: str, last: str, end: str) -> DataFram
 
 def missing_children(parents: DataFrame, children: DataFrame, on: str) -> DataFrame:
     """Parents that have no child row yet, in key order."""
-    return parents.join(children.select(on), on, "left_anti").orderBy(on)
+    return parents.join(children.select(on).distinct(), on, "left_anti").orderBy(on)
 
 
 def is_full_load(spark: SparkSession, table: str, last_value) -> bool:

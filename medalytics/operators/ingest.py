@@ -38,14 +38,18 @@ def success_gate(requests: DataFrame, by: list[str], ok: Column, threshold: floa
 
 
 def error_histogram(requests: DataFrame, kind: Column, ok: Column, alert: float = V.ERROR_ALERT) -> DataFrame:
-    """Failures per kind, most frequent first, with their share of all requests and the alert flag."""
+    """Failures per kind, most frequent first, with their share of all requests.
+
+    `total_rate` is the share of all failures together; the alert is raised on it, not on a single kind.
+    """
     good = F.coalesce(ok, F.lit(False))
     failed_kind = F.when(~good, F.coalesce(kind, F.lit("unknown")))
     per_kind = requests.groupBy(failed_kind.alias("kind")).agg(F.count(F.lit(1)).alias("n_errors"))
     return (
-        per_kind.withColumn("error_rate", F.col("n_errors") / per_kind.agg(F.sum("n_errors")).scalar())
-        .filter("kind IS NOT NULL")
-        .withColumn("alert", F.col("error_rate") > alert)
+        per_kind.filter("kind IS NOT NULL")
+        .withColumn("error_rate", F.col("n_errors") / per_kind.agg(F.sum("n_errors")).scalar())
+        .withColumn("total_rate", per_kind.agg(F.sum(F.when(F.col("kind").isNotNull(), F.col("n_errors"))) / F.sum("n_errors")).scalar())
+        .withColumn("alert", F.col("total_rate") > alert)
         .orderBy(F.col("n_errors").desc(), "kind")
     )
 
@@ -138,11 +142,11 @@ def with_audit(df: DataFrame, source: str, batch_id: str | None = None) -> DataF
 def payload_hash(df: DataFrame, cols: list[str] | None = None, out: str = "_payload_hash", json: bool = True) -> DataFrame:
     """Stable md5 of the record, over its JSON or over its joined texts, with the keys in order."""
     cols = sorted(cols or df.columns)
-    return df.withColumn(out, C.canonical_hash(cols) if json else C.digest(cols))
+    return df.withColumn(out, C.canonical_hash(cols) if json else C.row_digest(cols))
 
 
 def audit_sample(df: DataFrame, order: list[str], n: int = 10, seed: int = 0) -> DataFrame:
-    """Rows at the start, quarters and end of the order, filled up to `n` by a hash of the key.
+    """Rows at the start, quarters and end of the order, filled up to `n` by the md5 of key and seed.
 
     A table of up to `n` rows is returned whole. Positions come from range partitions, not from a
     single sorted task.
@@ -151,7 +155,8 @@ def audit_sample(df: DataFrame, order: list[str], n: int = 10, seed: int = 0) ->
     rows = numbered.agg(F.count(F.lit(1))).scalar()
     marks = [F.lit(0).cast("bigint"), F.floor(rows / 4), F.floor(rows / 2), F.floor(rows * 3 / 4), rows - 1]
     placed = numbered.withColumn("__mark", (rows <= n) | F.col("position").isin(*marks))
-    fill = placed.filter(~F.col("__mark")).orderBy(F.xxhash64(*order, F.lit(seed)), *order).limit(max(n - 5, 0))
+    drawn = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in order], F.lit(str(seed))))
+    fill = placed.filter(~F.col("__mark")).orderBy(drawn, *order).limit(max(n - 5, 0))
     return (
         placed.filter("__mark").withColumn("kind", F.lit("position"))
         .unionByName(fill.withColumn("kind", F.lit("fill")))

@@ -9,13 +9,27 @@ from pyspark.sql import functions as F
 def upsert(target: DataFrame | None, source: DataFrame, keys: list[str]) -> DataFrame:
     """Target after source rows replace the rows with their key and add the rest.
 
-    A null key never matches. `source` has one row per key (deduplicate it first). Without a target
-    the source is the result.
+    Columns are those of both: a replaced row keeps the target's value in columns that the source lacks,
+    and rows without a value for a new column have null there. A null key never matches. A key that
+    occurs twice in the source raises a ValueError, as it is not clear which row should win. Without a
+    target the source is the result.
     """
+    reject_repeated(source, keys)
     if target is None:
         return source
+    only_old = [c for c in target.columns if c not in source.columns]
+    if only_old:
+        source = source.join(target.dropna(subset=keys).select(*keys, *only_old), keys, "left")
     kept = target.join(source.select(*keys), keys, "left_anti")
-    return kept.unionByName(source, allowMissingColumns=True)
+    merged = kept.unionByName(source, allowMissingColumns=True)
+    return merged.select(*target.columns, *[c for c in merged.columns if c not in target.columns])
+
+
+def reject_repeated(source: DataFrame, keys: list[str]) -> None:
+    """Raise a ValueError for a key without nulls that occurs more than once."""
+    repeated = source.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").first()
+    if repeated:
+        raise ValueError(f"the source has {repeated['n']} rows for one key: {repeated.asDict()}")
 
 
 def cdc_classify(target: DataFrame, source: DataFrame, keys: list[str], hash_col: str) -> DataFrame:

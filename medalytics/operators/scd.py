@@ -19,13 +19,15 @@ def number_chunk(order: str, size: int = CHUNK) -> Column:
 def build(df: DataFrame, key: str, order: str, ts: str, chunk: Column | None = None) -> DataFrame:
     """Add valid_from, valid_to (the start of the next version, null if none) and is_current.
 
+    Rows without a key or without a time (it did not parse) are no versions; see `unplaced`. The current
+    version is the last in the order.
     By default a chunk holds CHUNK consecutive order numbers; a given chunk must not be null.
     """
     chunk = number_chunk(order) if chunk is None else chunk
-    rows = df.filter(F.col(key).isNotNull()).withColumn("__chunk", chunk)
+    rows = df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).withColumn("__chunk", chunk)
     heads = rows.groupBy(key, "__chunk").agg(F.min(F.struct(F.col(order), F.col(ts))).alias("__head"))
     follow = F.lead("__head").over(Window.partitionBy(key).orderBy("__chunk"))
-    nexts = heads.select(key, "__chunk", follow[ts].alias("__next_chunk_ts"))
+    nexts = heads.select(key, "__chunk", follow[ts].alias("__next_chunk_ts"), follow.isNull().alias("__last_chunk"))
     inside = Window.partitionBy(key, "__chunk").orderBy(order, ts)
     is_last = F.lead(F.lit(True)).over(inside).isNull()
     return (
@@ -34,11 +36,16 @@ def build(df: DataFrame, key: str, order: str, ts: str, chunk: Column | None = N
         .join(nexts, [key, "__chunk"])
         .withColumn("valid_from", F.col(ts))
         .withColumn("valid_to", F.when(F.col("__last"), F.col("__next_chunk_ts")).otherwise(F.col("__inside")))
-        .withColumn("is_current", F.col("valid_to").isNull())
-        .drop("__chunk", "__inside", "__last", "__next_chunk_ts")
+        .withColumn("is_current", F.col("__last") & F.col("__last_chunk"))
+        .drop("__chunk", "__inside", "__last", "__next_chunk_ts", "__last_chunk")
     )
 
 
+def unplaced(df: DataFrame, key: str, ts: str) -> DataFrame:
+    """The rows that `build` leaves out: without a key or without a time."""
+    return df.filter(F.col(key).isNull() | F.col(ts).isNull())
+
+
 def refresh(history: DataFrame, increment: DataFrame, key: str, order: str, ts: str, chunk: Column | None = None) -> DataFrame:
     """History after an increment: only the keys that occur in it are rebuilt.
 
@@ -61,13 +68,16 @@ def as_of_join(
 ) -> DataFrame:
     """Add to every row of `df` the `cols` of the version of its key that is valid at `at`, null if none.
 
-    `history` comes from `build` with times that do not decrease along `order`. Rows and versions are
+    `history` comes from `build` with times that do not decrease along `order`; a version that ends before
+    it begins raises an error, one without a start is never valid. Rows and versions are
     merged in time order per key and period, and the last version before a period is carried into it,
     so the work is linear and a busy key is split by period.
     """
     kind = history.schema["valid_from"].dataType
     version = F.struct(F.col("valid_from"), F.col(order).alias("__order"), *[F.col(c) for c in cols])
-    versions = history.select(
+    backwards = F.raise_error(F.lit("the times of the history decrease along its order"))
+    checked = F.when(F.col("valid_to") < F.col("valid_from"), backwards).otherwise(F.col("valid_from"))
+    versions = history.filter(F.col("valid_from").isNotNull()).withColumn("valid_from", checked).select(
         key,
         F.date_trunc(period, "valid_from").alias("__period"),
         F.col("valid_from").alias("__at"),

@@ -88,23 +88,23 @@ def outcome_split(spark, d):
 @query(
     "child_tagging",
     """SELECT e.member_id AS _member_id, e.doc_code, e.doc_number, e.tie_part, e.supplier_id, 'expenses' AS kind
-FROM expenses e JOIN stored_members m USING (member_id)""",
-    "expenses stored_members",
+FROM expenses e JOIN all_members m USING (member_id)""",
+    "expenses all_members",
 )
 def child_tagging(spark, d):
     children = X.expenses(spark, d).select("member_id", "doc_code", "doc_number", "tie_part", "supplier_id")
-    return ingest.tag_children(X.stored_members(spark, d), children, "member_id", extra={"kind": "expenses"})
+    return ingest.tag_children(X.members(spark, d), children, "member_id", extra={"kind": "expenses"})
 
 
 @query(
     "child_enrich",
     """SELECT e.member_id AS _member_id, e.doc_code, e.doc_number, e.tie_part, e.supplier_id, m.name AS _name, m.region_name AS _region
-FROM expenses e JOIN stored_members m USING (member_id)""",
-    "expenses stored_members",
+FROM expenses e JOIN all_members m USING (member_id)""",
+    "expenses all_members",
 )
 def child_enrich(spark, d):
     children = X.expenses(spark, d).select("member_id", "doc_code", "doc_number", "tie_part", "supplier_id")
-    return ingest.tag_children(X.stored_members(spark, d), children, "member_id", {"name": "name", "region_name": "region"})
+    return ingest.tag_children(X.members(spark, d), children, "member_id", {"name": "name", "region_name": "region"})
 
 
 @query("path_key_extract", "SELECT page_id, split_part(url, '/', 3) AS host, split_part(url, '/', 4) AS section FROM pages")
@@ -134,14 +134,26 @@ def valid_split(spark, d):
     return valid.withColumn("missing", F.lit("")).unionByName(rejected.withColumnRenamed("_missing", "missing"))
 
 
-@query("audit_columns")
+@query(
+    "audit_columns",
+    """SELECT member_id, doc_code, doc_number, tie_part, supplier_id, '/deputados/despesas' AS _source_endpoint, '20240131_000000' AS _batch_id,
+  true AS has_time FROM expenses""",
+    "expenses",
+)
 def audit_columns(spark, d):
-    return ingest.with_audit(X.expenses(spark, d), "/deputados/despesas")
+    marked = ingest.with_audit(X.expenses(spark, d), "/deputados/despesas", "20240131_000000")
+    has_time = F.col("_ingested_at").isNotNull().alias("has_time")
+    return marked.select("member_id", "doc_code", "doc_number", "tie_part", "supplier_id", "_source_endpoint", "_batch_id", has_time)
+
+
+def joined(cols):
+    """SQL of the text that a row's digest is taken over."""
+    return " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in cols.split())
 
 
 @query(
     "payload_hash",
-    "SELECT key_id, seq, md5(concat_ws('||', body, key_id, kind, seq, state)) AS payload_hash FROM history_raw",
+    f"SELECT key_id, seq, md5({joined('body key_id kind seq state')}) AS payload_hash FROM history_raw",
     "history_raw",
 )
 def payload_hash(spark, d):
@@ -152,13 +164,14 @@ def payload_hash(spark, d):
 
 @query(
     "audit_sample",
-    """WITH n AS (SELECT member_id, row_number() OVER (ORDER BY member_id) - 1 AS position, count(*) OVER () AS c FROM all_members)
-SELECT member_id, position FROM n WHERE position IN (0, c // 4, c // 2, 3 * c // 4, c - 1)""",
+    """WITH n AS (SELECT member_id, row_number() OVER (ORDER BY member_id) - 1 AS position, count(*) OVER () AS c FROM all_members),
+m AS (SELECT *, position IN (0, c // 4, c // 2, 3 * c // 4, c - 1) AS mark FROM n),
+f AS (SELECT * FROM m WHERE NOT mark ORDER BY md5(member_id || '|0'), member_id LIMIT 5)
+SELECT member_id, position, 'position' AS kind FROM m WHERE mark UNION ALL SELECT member_id, position, 'fill' FROM f""",
     "all_members",
 )
 def audit_sample(spark, d):
-    sample = ingest.audit_sample(X.members(spark, d).select("member_id"), ["member_id"])
-    return sample.filter("kind = 'position'").select("member_id", "position")
+    return ingest.audit_sample(X.members(spark, d).select("member_id"), ["member_id"]).select("member_id", "position", "kind")
 
 
 @query(
@@ -176,13 +189,15 @@ def success_gate(spark, d):
     "error_histogram",
     """SELECT CASE status WHEN 429 THEN 'HTTP 429 (Rate Limit)' WHEN 400 THEN 'HTTP 400 (Bad Request)' WHEN 404 THEN 'HTTP 404 (Not Found)'
   WHEN 500 THEN 'HTTP 500 (Server Error)' ELSE 'Connection/Timeout Error' END AS kind, count(*) AS n_errors,
-  round(count(*) / (SELECT count(*) FROM requests), 6) AS error_rate, count(*) / (SELECT count(*) FROM requests) > 0.05 AS alert
+  round(count(*) / (SELECT count(*) FROM requests), 6) AS error_rate,
+  (SELECT round(count(*) FILTER (status <> 200) / count(*), 6) FROM requests) AS total_rate,
+  (SELECT count(*) FILTER (status <> 200) / count(*) FROM requests) > 0.05 AS alert
 FROM requests WHERE status <> 200 GROUP BY 1""",
     "requests",
 )
 def error_histogram(spark, d):
     found = ingest.error_histogram(X.requests(spark, d), C.error_kind(F.col("status")), succeeded())
-    return found.select("kind", "n_errors", r6("error_rate"), "alert")
+    return found.select("kind", "n_errors", r6("error_rate"), r6("total_rate"), "alert")
 
 
 @query(
@@ -298,6 +313,7 @@ def partition_overwrite(spark, d):
 MERGED_SQL = """SELECT member_id, name, party, region_name, CAST(balance AS DOUBLE) AS balance FROM landed_members
 UNION ALL SELECT member_id, name, party, region_name, CAST(balance AS DOUBLE) FROM stored_members WHERE member_id NOT IN (SELECT member_id FROM landed_members)"""
 MEMBER_COLS = ["member_id", "name", "party", "region_name"]
+HASHED = "balance member_id name party region_name"
 
 
 @query("upsert_merge", MERGED_SQL, "stored_members landed_members")
@@ -321,8 +337,8 @@ def hashed(df):
 
 @query(
     "cdc_classify",
-    """WITH o AS (SELECT member_id, md5(concat_ws('||', balance, member_id, name, party, region_name)) AS h FROM stored_members),
-n AS (SELECT member_id, md5(concat_ws('||', balance, member_id, name, party, region_name)) AS h FROM landed_members)
+    f"""WITH o AS (SELECT member_id, md5({joined(HASHED)}) AS h FROM stored_members),
+n AS (SELECT member_id, md5({joined(HASHED)}) AS h FROM landed_members)
 SELECT member_id, o.h AS old_hash, n.h AS new_hash,
   CASE WHEN o.h IS NULL THEN 'INSERT' WHEN n.h IS NULL THEN 'ABSENT' WHEN o.h = n.h THEN 'UNCHANGED' ELSE 'UPDATE' END AS change
 FROM o FULL JOIN n USING (member_id)""",

@@ -141,15 +141,13 @@ def enrich_left(spark, d):
 
 @query(
     "hhi_diversity",
-    """WITH p AS (SELECT group_id, party, count(*) AS n FROM membership GROUP BY ALL),
-t AS (SELECT *, sum(n) OVER (PARTITION BY group_id) AS total FROM p)
-SELECT group_id, CAST(max(total) AS BIGINT) AS n_members, round(sum((n / total) * (n / total)), 6) AS hhi,
-  count(party) AS n_parts, round(1.0 / sum((n / total) * (n / total)), 6) AS effective_parts FROM t GROUP BY group_id""",
+    """WITH p AS (SELECT group_id, party, count(*) AS n FROM membership GROUP BY ALL)
+SELECT group_id, CAST(sum(n) AS BIGINT) AS n_members, CAST(sum(n * n) AS DOUBLE) / (CAST(sum(n) AS DOUBLE) * sum(n)) AS hhi,
+  count(party) AS n_parts, CAST(sum(n) AS DOUBLE) * sum(n) / CAST(sum(n * n) AS DOUBLE) AS effective_parts FROM p GROUP BY group_id""",
     "membership",
 )
 def hhi_diversity(spark, d):
-    found = groups.hhi(X.membership(spark, d), "group_id", "party")
-    return found.select("group_id", "n_members", r6("hhi"), "n_parts", r6("effective_parts"))
+    return groups.hhi(X.membership(spark, d), "group_id", "party")
 
 
 def titled_membership(spark, d):
@@ -376,16 +374,16 @@ def calendar_fact(spark, d):
 @query(
     "weekly_density",
     f"""WITH c AS (SELECT *, CAST(trunc((CAST(start_ts AS DATE) - DATE '1991-12-01') / 7.0 + 1) AS INT) AS week FROM ({CALENDAR_SQL})
-  WHERE CAST(start_ts AS DATE) BETWEEN DATE '1991-12-01' AND DATE '1999-12-31'),
+),
 w AS (SELECT week, count(*) AS n, sum(n_present) AS p, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS k FROM c GROUP BY week)
 SELECT CAST(s.week AS INT) AS week, coalesce(n, 0) AS n_events, CAST(coalesce(p, 0) AS BIGINT) AS n_present, coalesce(round(p / n, 6), 0.0) AS mean_present,
   coalesce(k, '') AS kinds, n IS NULL AS is_empty
-FROM generate_series(1, CAST(trunc((DATE '1999-12-31' - DATE '1991-12-01') / 7.0 + 1) AS INT)) AS s(week) LEFT JOIN w ON w.week = s.week""",
+FROM generate_series(1, (SELECT max(week) FROM w)) AS s(week) LEFT JOIN w ON w.week = s.week""",
     "meetings attendance",
 )
 def weekly_density(spark, d):
     cal = event_calendar(spark, d).withColumn("day", F.to_date("start_ts"))
-    found = calendar_ops.weekly_density(cal, "day", "event_type", "1991-12-01", "1999-12-31")
+    found = calendar_ops.weekly_density(cal, "day", "event_type", "1991-12-01")
     return found.select("week", "n_events", "n_present", r6("mean_present"), F.array_join("kinds", ",").alias("kinds"), "is_empty")
 
 

@@ -1,5 +1,6 @@
 """Tables of the layers: reading with a fallback, writing, upserting, compacting."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -9,7 +10,7 @@ from pyspark.errors import AnalysisException
 from ..functions.scratch import new_path
 from ..operators.incremental import CONTROL_SCHEMA
 from ..operators.ingest import with_audit
-from ..operators.merge import upsert
+from ..operators.merge import reject_repeated, upsert
 from ..operators.runlog import LOG_SCHEMA, log_rows
 
 
@@ -81,22 +82,61 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def _files(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def restore(spark: SparkSession, path: str) -> None:
+    """Bring back the table at `path` if a run was lost between the two renames of a switch."""
+    files, live = _files(spark, path)
+    _, old = _files(spark, f"{path.rstrip('/')}__old")
+    if files.exists(old):
+        if files.exists(live):
+            files.delete(old, True)
+        else:
+            files.rename(old, live)
+
+
+def switch(spark: SparkSession, staged: str, path: str) -> None:
+    """Put the finished table at `staged` in the place of the one at `path`, by renaming both."""
+    restore(spark, path)
+    files, live = _files(spark, path)
+    _, old = _files(spark, f"{path.rstrip('/')}__old")
+    _, new = _files(spark, staged)
+    if files.exists(live):
+        files.rename(live, old)
+    if not files.rename(new, live):
+        restore(spark, path)
+        raise OSError(f"{staged} could not be moved to {path}")
+    files.delete(old, True)
+
+
 def upsert_path(spark: SparkSession, path: str, source: DataFrame, keys: list[str], partition_by: list[str] | None = None) -> int:
     """Upsert into the table at `path`, creating it if it is missing.
 
-    The result is written beside the table first and then replaces it, since a table cannot be
-    overwritten while it is read. With `partition_by`, which must be part of the key, only the
-    partitions that occur in the source are rewritten.
+    The result is written beside the table and takes its place by renaming, so a failed run leaves the
+    old table (see `restore`). With `partition_by`, which must be part of the key, only the partitions
+    that occur in the source are written and replaced. Columns and repeated keys: see `merge.upsert`.
+    Returns the number of rows of the table.
     """
+    restore(spark, path)
     if not _exists(spark, path):
+        reject_repeated(source, keys)
         return write_table(source, path, "overwrite", partition_by)
-    target = spark.read.parquet(path).select(*source.columns)
+    target = spark.read.parquet(path)
     if partition_by:
         if not set(partition_by) <= set(keys):
             raise ValueError("partition columns must be part of the key")
         target = target.join(source.select(*partition_by).distinct(), partition_by, "left_semi")
+    merged = upsert(target, source, keys)
+    if not partition_by:
+        staged = f"{path.rstrip('/')}__new-{uuid.uuid4().hex}"
+        rows = write_table(merged, staged)
+        switch(spark, staged, path)
+        return rows
     staged = new_path(spark, "staged")
-    upsert(target, source, keys).write.parquet(staged)
+    merged.write.parquet(staged)
     write_table(spark.read.parquet(staged), path, "overwrite", partition_by)
     return _rows(spark, path)
 

@@ -2,7 +2,7 @@
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -34,20 +34,21 @@ def file_stream(spark: SparkSession, root: str, table: str, files_per_batch: int
     return reader.parquet(path)
 
 
-def new_rows(stream: DataFrame, key: str, ts: str, delay: str = "1 day") -> DataFrame:
-    """Each id once: the checkpoint is the offset, and ids delivered again within `delay` are dropped.
+def new_rows(stream: DataFrame, key: str, ts: str) -> DataFrame:
+    """Each id once, however late it comes: the checkpoint is the offset, ids seen before are dropped.
 
-    The state holds the ids of the last `delay` only.
+    No row is dropped for its time. The state is one entry per id, spread by id over the tasks and kept
+    on disk by the RocksDB provider, so it grows with the ids and not in memory.
     """
-    typed = stream.withColumn(ts, F.col(ts).cast("timestamp"))
-    return typed.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    return stream.withColumn(ts, F.col(ts).cast("timestamp")).dropDuplicates([key])
 
 
-def _replace(df: DataFrame, folder: str, batch: int) -> DataFrame:
-    """Write one batch to its own partition; a repeated batch replaces itself."""
+def _replace(df: DataFrame, folder: str, batch: int) -> tuple[DataFrame, int]:
+    """Write one batch to its own partition, counting its rows; a repeated batch replaces itself."""
     path = f"{folder}/_batch={batch}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get.get("n", 0)
 
 
 def write_with_alerts(
@@ -66,10 +67,9 @@ def write_with_alerts(
         n_rows = n_alerts = 0
         status = "SUCCESS"
         try:
-            written = _replace(batch, out, number)
-            n_rows = written.count()
+            written, n_rows = _replace(batch, out, number)
             if n_rows:
-                n_alerts = _replace(written.filter(F.col(level).isin(alert_levels)), alerts, number).count()
+                _, n_alerts = _replace(written.filter(F.col(level).isin(alert_levels)), alerts, number)
         except Exception:
             status = "FAILED"
             raise

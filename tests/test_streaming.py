@@ -44,6 +44,15 @@ def test_new_rows_alerts_and_restart(spark, tmp_path, folders):
     assert stream.sla_breaches(spark.read.parquet(folders["sla"])).count() == 0
 
 
+def test_a_row_that_comes_very_late_is_kept(spark, tmp_path, folders):
+    root = str(tmp_path / "landing")
+    for days in (range(1, 11), [11], [2]):
+        rows = spark.createDataFrame([(100 * len(list(days)) + i, f"2024-03-{i:02d} 00:00:00", "x") for i in days], "id long, ts string, t string")
+        rows.withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.mode("append").parquet(f"{root}/votes.parquet")
+        run(spark, root, folders)
+    assert ids(spark, folders["out"]) == [102, 111, *range(1001, 1011)]
+
+
 def test_a_batch_run_again_replaces_itself(spark, tmp_path):
     folder = str(tmp_path / "t")
     for _ in range(2):
