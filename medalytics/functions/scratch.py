@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _local_roots = {}
+_run_folders = set()
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -25,8 +26,15 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, tag: str) -> str:
-    """A path in the shared folder that no other table uses."""
-    return f"{shared_root(spark)}/{tag}-{uuid.uuid4().hex}"
+    """A path in the run's own part of the shared folder, which goes when the driver ends."""
+    run = f"{shared_root(spark)}/medalytics-{spark.sparkContext.applicationId}"
+    if run not in _run_folders:
+        target = spark._jvm.org.apache.hadoop.fs.Path(run)
+        files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(target)
+        files.deleteOnExit(target)
+        _run_folders.add(run)
+    return f"{run}/{tag}-{uuid.uuid4().hex}"
 
 
 def row_bytes(schema: T.StructType):

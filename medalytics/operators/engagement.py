@@ -1,11 +1,13 @@
 """Presence rates, engagement score and percentile, absences, monthly series."""
 
+from math import ceil
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ordered
 from ..functions.scratch import store
-from ..functions.skew import SALTS, join_lookup, salt
+from ..functions.skew import join_lookup
 
 
 def rate(fact: DataFrame, dim: DataFrame, event: str, member: str, kind: str) -> DataFrame:
@@ -46,18 +48,13 @@ def percentile(df: DataFrame, column: str, out: str = "percentile") -> DataFrame
 
 
 def absences(
-    members: DataFrame,
-    votes: DataFrame,
-    key: str,
-    session: str,
-    body: str,
-    attrs: list[str],
-    max_bodies: int = 10_000,
+    members: DataFrame, votes: DataFrame, key: str, session: str, body: str, attrs: list[str], page_bodies: int = 1000
 ) -> DataFrame:
     """Sessions of every body in which a member did not vote, where there is at least one.
 
-    Sessions are counted per body and votes per member and body, so members never meet sessions.
-    The bodies are few; their number is checked before they are attached to every member.
+    Sessions are counted per body and votes per member and body, so members never meet sessions. Bodies
+    come in pages of about `page_bodies`: every member gets one row per page with what it attended there,
+    and only then, without another shuffle, one row per body, as many as the result itself may have.
     """
     listed = store(votes.select(session, body).distinct(), "sessions")
     held = store(listed.df.groupBy(body).agg(F.count(F.lit(1)).alias("n_held")), "bodies")
@@ -66,28 +63,17 @@ def absences(
         .groupBy(key, body)
         .agg(F.count(F.lit(1)).alias("n_voted"))
     )
+    count = max(1, ceil(held.rows / page_bodies))
+    page = F.pmod(F.xxhash64(body), F.lit(count)).cast("int")
     body_key = F.coalesce(F.concat(F.lit("="), F.col(body).cast("string")), F.lit(""))
-    if held.rows <= max_bodies:
-        # at most max_bodies entries per member on either side
-        voted = attended.groupBy(key).agg(
-            F.map_from_entries(F.collect_list(F.struct(body_key, F.col("n_voted")))).alias("__voted")
-        )
-        bodies = held.df.agg(F.collect_list(F.struct(F.col(body), F.col("n_held"))))
-        grid = (
-            members.select(key, *attrs)
-            .join(voted, key, "left")
-            .withColumn("__bodies", bodies.scalar())
-            .select(key, *attrs, "__voted", F.inline("__bodies"))
-        )
-        n_voted = F.try_element_at("__voted", body_key)
-    else:
-        # as many bodies as this make the output itself a product; spread it over buckets of members
-        spread = held.df.withColumn("__bucket", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        pairs = members.select(key, *attrs).withColumn("__bucket", salt([key])).join(spread, "__bucket").drop("__bucket")
-        right = attended.select(F.col(key).alias("__k"), F.col(body).alias("__b"), "n_voted")
-        grid = pairs.join(right, (F.col(key) == F.col("__k")) & F.col(body).eqNullSafe(F.col("__b")), "left")
-        n_voted = F.col("n_voted")
-    missed = F.col("n_held") - F.coalesce(n_voted, F.lit(0))
+    voted = attended.groupBy(key, page.alias("__page")).agg(
+        F.map_from_entries(F.collect_list(F.struct(body_key, F.col("n_voted")))).alias("__voted")
+    )
+    pages = held.df.groupBy(page.alias("__page")).agg(F.collect_list(F.struct(F.col(body), F.col("n_held"))).alias("__bodies"))
+    paged = members.select(key, *attrs, F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("__page"))
+    grid = join_lookup(paged.join(voted, [key, "__page"], "left"), pages, ["__page"], "inner")
+    grid = grid.select(key, *attrs, "__voted", F.inline("__bodies"))
+    missed = F.col("n_held") - F.coalesce(F.try_element_at("__voted", body_key), F.lit(0))
     return grid.withColumn("n_missed", missed).filter("n_missed > 0").select(key, *attrs, body, "n_missed")
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ordered import running_total
 from ..functions.scratch import store
-from ..functions.skew import HOT_ROWS, join_hot, join_lookup
+from ..functions.skew import join_hot, join_lookup
 
 
 def hhi(edges: DataFrame, group: str, part: str) -> DataFrame:
@@ -89,11 +89,9 @@ def majority(votes: DataFrame, group: str, session: str, choice: str) -> DataFra
     )
 
 
-def votes_of_groups(
-    votes: DataFrame, edges: DataFrame, member: str, group: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def votes_of_groups(votes: DataFrame, edges: DataFrame, member: str, group: str) -> DataFrame:
     """Every vote once per group of its member."""
-    return join_hot(votes, edges.select(member, group), [member], hot_rows)
+    return join_hot(votes, edges.select(member, group), [member])
 
 
 def cohesion(votes: DataFrame, group: str, session: str, choice: str) -> DataFrame:

@@ -1,18 +1,12 @@
 """Rules over text, and which texts mention which names."""
 
-from collections.abc import Iterator
 from functools import reduce
-from math import ceil
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import fixed_values as V
-from ..functions.scratch import store
-
-NEEDLE_BYTES = 32 << 20
 
 
 def classify(df: DataFrame, text: str, rules, default: str, out: str = "theme") -> DataFrame:
@@ -46,51 +40,40 @@ def with_status(df: DataFrame, column: str, mark: str = V.CLOSED_MARK) -> DataFr
     return df.withColumn("status", F.when(closed, V.CLOSED_STATUS).otherwise(V.OPEN_STATUS))
 
 
-def _matcher(words):
-    """Arrow-batched column function: the words that occur in a text, found in one pass over it."""
-
-    @F.pandas_udf("array<string>")
-    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import ahocorasick
-
-        automaton = ahocorasick.Automaton()
-        for word in words.value:
-            automaton.add_word(word, word)
-        automaton.make_automaton()
-        for batch in batches:
-            yield batch.map(lambda text: None if text is None else sorted({w for _, w in automaton.iter(text)}))
-
-    return found
-
-
-def mentions(
-    hay: DataFrame, needles: DataFrame, text: str, needle_id: str, names: list[str], keep: list[str],
-    max_bytes: int = NEEDLE_BYTES,
-) -> DataFrame:
+def mentions(hay: DataFrame, needles: DataFrame, text: str, needle_id: str, names: list[str], keep: list[str]) -> DataFrame:
     """Pairs of a text row (its `keep` columns) and a needle that has one of its `names` in the text.
 
-    Substring match on whole texts; empty names are ignored. Every text is read once against all
-    names together, where a join on `contains` would compare each with each. The names are sent to
-    the tasks only in slices of known size; more names mean more passes, none is left out.
+    Substring match on whole texts; blank names are ignored. A name is looked for only in texts that hold
+    one of its words, its anchor: the rarest of the words with a space on either side in the name, which
+    must be whole words of the text too. A name without such a word has for anchors all words of the texts
+    that contain its longest part; they are found by grams of up to three letters over the distinct words.
+    So rows meet by equal words, and `contains` only confirms them.
     """
-    listed = needles.select(F.col(needle_id), F.explode(F.array(*names)).alias("__name"))
-    stored = store(listed.filter("__name <> ''").distinct(), "needles")
-    slices = max(1, ceil(stored.bytes / max_bytes))
-    passes = []
-    for number in range(slices):
-        part = stored.df
-        if slices > 1:
-            part = part.filter(F.pmod(F.xxhash64("__name"), F.lit(slices)) == number)
-        words = [r[0] for r in part.select("__name").distinct().collect()]
-        if not words:
-            continue
-        found = _matcher(hay.sparkSession.sparkContext.broadcast(words))
-        hits = hay.filter(F.col(text).isNotNull()).select(*keep, F.explode(found(text)).alias("__name"))
-        passes.append(hits.join(F.broadcast(part), "__name").drop("__name"))
-    if not passes:
-        none = F.lit(None).cast(needles.schema[needle_id].dataType).alias(needle_id)
-        return hay.select(*keep, none).filter(F.lit(False))
-    pairs = reduce(lambda a, b: a.unionByName(b), passes)
+    listed = needles.select(F.col(needle_id), F.explode(F.array(*names)).alias("__name")).filter(F.trim("__name") != "").distinct()
+    own = F.md5(F.concat(F.to_json(F.struct(*keep), {"ignoreNullFields": "false"}), F.col(text)))
+    rows = hay.filter(F.col(text).isNotNull()).select(*keep, F.col(text).alias("__text"), own.alias("__row"))
+    words = rows.select("__row", F.explode(F.array_distinct(F.split("__text", " "))).alias("__word")).distinct()
+    common = words.groupBy("__word").agg(F.count(F.lit(1)).alias("__n"))
+
+    parts = F.split("__name", " ")
+    inner = F.filter(F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0))), lambda w: w != "")
+    cut = listed.select("__name").distinct().select("__name", parts.alias("__parts"), inner.alias("__inner"))
+    exact = cut.select("__name", F.explode("__inner").alias("__word")).join(common, "__word")
+    exact = exact.groupBy("__name").agg(F.min_by("__word", "__n").alias("__word"))
+    longest = F.array_max(F.transform("__parts", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    loose = cut.filter(F.size("__inner") == 0).select("__name", longest.alias("__part"))
+    loose = loose.withColumn("__gram", F.substring("__part", 1, 3))
+
+    def grams_of(n):
+        return F.transform(F.sequence(F.lit(1), F.length("__word")), lambda i: F.substr("__word", i, F.lit(n)))
+
+    grams = F.flatten(F.array(*[grams_of(n) for n in (1, 2, 3)]))
+    spelled = common.filter("__word <> ''").select("__word", F.explode(F.array_distinct(grams)).alias("__gram"))
+    loose = loose.join(spelled, "__gram").filter(F.contains("__word", "__part")).select("__name", "__word")
+
+    anchored = words.join(exact.unionByName(loose), "__word").select("__row", "__name").distinct()
+    found = rows.join(anchored, "__row").filter(F.contains("__text", "__name")).join(listed, "__name")
+    pairs = found.select(*keep, needle_id)
     return pairs.distinct() if len(names) > 1 else pairs
 
 

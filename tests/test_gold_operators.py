@@ -107,9 +107,9 @@ def test_score_without_events(spark):
     assert got == {1: pytest.approx(0.6), 2: 0.0}
 
 
-@pytest.mark.parametrize("max_bodies", [0, 100])
-def test_absences_by_brute_force(spark, max_bodies):
-    """A session listed under two bodies, a null body, repeated votes; both ways agree with the product."""
+@pytest.mark.parametrize("page_bodies", [1, 2, 100])
+def test_absences_by_brute_force(spark, page_bodies):
+    """A session listed under two bodies, a null body, repeated votes; all page sizes agree with the product."""
     rng = random.Random(3)
     votes = [(rng.randrange(6), s, rng.choice(["A", "B", None]) if s == 4 else ("A" if s % 2 else "")) for s in range(12) for _ in range(4)]
     members = list(range(8))
@@ -122,7 +122,7 @@ def test_absences_by_brute_force(spark, max_bodies):
                 want[m, b] = want.get((m, b), 0) + 1
     got = engagement.absences(
         spark.createDataFrame([(m, f"n{m}") for m in members], "m int, name string"),
-        spark.createDataFrame(votes, "m int, s int, b string"), "m", "s", "b", ["name"], max_bodies,
+        spark.createDataFrame(votes, "m int, s int, b string"), "m", "s", "b", ["name"], page_bodies,
     ).collect()
     assert {(r["m"], r["b"]): r["n_missed"] for r in got} == want
     assert len(got) == len(want)

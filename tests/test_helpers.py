@@ -14,16 +14,16 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("limit, hot_rows", [(1 << 20, 0), (0, 100), (0, 10_000)])
+@pytest.mark.parametrize("limit, parts", [(1 << 20, 8), (0, 100), (0, 2)])
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_join_lookup_is_the_same_on_all_ways(spark, limit, hot_rows, how):
+def test_join_lookup_is_the_same_on_all_ways(spark, limit, parts, how):
     """A third of the rows share a key; null keys meet; broadcast, spread and plain ways agree."""
     facts = spark.range(3000).select(
         "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 != 0, F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("k")
     )
     lookup = facts.filter("k IS NULL OR k <> 'k1'").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     want = {r["k"]: r["n"] for r in lookup.collect()}
-    got = skew.join_lookup(facts, lookup, ["k"], how, max_broadcast_bytes=limit, hot_rows=hot_rows, salts=4).collect()
+    got = skew.join_lookup(facts, lookup, ["k"], how, max_broadcast_bytes=limit, parts=parts).collect()
     expected = {r["id"]: want.get(r["k"]) for r in facts.collect() if how == "left" or r["k"] in want}
     assert {r["id"]: r["n"] for r in got} == expected
     assert len(got) == len(expected)
@@ -37,8 +37,9 @@ def test_salt_spreads_equal_rows(spark):
 def test_only_hot_keys_are_repeated(spark):
     """Beyond the limit the facts meet the lookup by key and salt; only rows of hot keys are repeated."""
     facts = spark.range(100).withColumn("k", F.when(F.col("id") < 40, 0).otherwise(F.col("id")))
-    assert [r["k"] for r in skew.hot_keys(facts, ["k"], 30).df.collect()] == [0]
-    plan = skew.join_lookup(facts, facts.groupBy("k").count(), ["k"], max_broadcast_bytes=0, hot_rows=30)._jdf.queryExecution().optimizedPlan().toString()
+    counts = facts.groupBy("k").agg(F.count("k").alias("__left"), F.lit(0).alias("__right"), F.count("k").alias("__out"))
+    assert [tuple(r) for r in skew.hot_keys(counts, 3).df.collect()] == [(0, 3, True)]
+    plan = skew.join_lookup(facts, facts.groupBy("k").count(), ["k"], max_broadcast_bytes=0, parts=3)._jdf.queryExecution().optimizedPlan().toString()
     assert "__salt" in plan and plan.count("rightHint=(strategy=broadcast)") == 2
 
 
@@ -77,16 +78,33 @@ def test_shared_root_follows_the_session(spark):
     assert scratch.shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-@pytest.mark.parametrize("hot_rows", [10, 10_000])
-def test_join_hot_is_a_plain_join(spark, hot_rows):
+@pytest.mark.parametrize("parts", [1, 8, 200])
+def test_join_hot_is_a_plain_join(spark, parts):
     """A third of the facts share a key, some keys are null; the spread and the plain way give the same rows."""
     key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 5 != 0, F.col("id") % 100)
     facts = spark.range(300).select("id", key.alias("k"))
     other = spark.range(150).select(F.when(F.col("id") % 7 != 0, F.col("id") % 40).alias("k"), F.col("id").alias("o"))
-    got = skew.join_hot(facts, other, ["k"], hot_rows, 4)
+    got = skew.join_hot(facts, other, ["k"], parts)
     assert rows(got.select("k", "id", "o")) == rows(facts.join(other, "k").select("k", "id", "o"))
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_rows_that_come_out_are_spread(spark, turned):
+    """One key with a third of the rows on one side, or few rows on both that make most of the result."""
+    many = spark.range(0, 30_000, 1, 8).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), "id")
+    few = spark.range(40).select(F.lit(-1).cast("long").alias("k"), F.col("id").alias("o")).union(spark.range(500).select("id", "id"))
+    a, b = (few, many) if turned else (many, few)
+    joined = skew.join_hot(a, b, ["k"], 16)
+    want = 10_000 * 40 + many.filter("k >= 0 AND k < 500").count()
+    sizes = [r[0] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().select("count").collect()]
+    assert sum(sizes) == want
+    salts = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salt" in salts
+    hot = many.filter("k = -1").count()
+    counts = spark.createDataFrame([(-1, hot, 40, hot * 40)], "k long, __left long, __right long, __out long")
+    assert skew.hot_keys(counts, 16).df.first()["__salts"] == 32  # rows per salt: at most a 16th of the result
+
+
 def test_hot_parent_is_split_at_run_time(spark):
     """Adaptive execution splits a skewed partition of a join between two shuffled sides."""
     settings = {
@@ -107,3 +125,9 @@ def test_hot_parent_is_split_at_run_time(spark):
     finally:
         for name in settings:
             spark.conf.unset(name)
+
+
+def test_tables_of_a_run_share_one_folder(spark):
+    a, b = scratch.new_path(spark, "x"), scratch.new_path(spark, "x")
+    assert a != b and a.rsplit("/", 1)[0] == b.rsplit("/", 1)[0]
+    assert spark.sparkContext.applicationId in a and a.startswith(scratch.shared_root(spark))

@@ -6,7 +6,8 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from medalytics.operators import incremental, merge, scd
+from medalytics.operators import calendar_ops, incremental, ingest, merge, scd
+from medalytics.sources import tables
 
 SCHEMA = "k int, seq long, ts timestamp, state string"
 
@@ -156,3 +157,79 @@ def test_cdc_and_conditional_upsert(spark):
 def test_concat_batches_with_different_columns(spark):
     a, b = spark.sql("SELECT 1 AS x"), spark.sql("SELECT 2 AS x, 'y' AS y")
     assert sorted((tuple(r) for r in merge.concat_batches([a, b]).collect()), key=repr) == [(1, None), (2, "y")]
+
+
+def test_unparsed_times_are_no_versions(spark):
+    data = [(1, 1, "2024-01-01", "a"), (1, 2, "nonsense", "b"), (1, 3, "2024-01-05", "c"), (2, 1, None, "d"), (2, 2, "2024-01-02", "e"), (2, 3, "bad", "f")]
+    rows = spark.createDataFrame(data, "k int, seq long, ts string, state string").withColumn("ts", F.expr("try_cast(ts AS timestamp)"))
+    built = scd.build(rows, "k", "seq", "ts")
+    assert {(r["state"], r["is_current"]) for r in built.collect()} == {("a", False), ("c", True), ("e", True)}
+    assert {r["state"] for r in scd.unplaced(rows, "k", "ts").collect()} == {"b", "d", "f"}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_as_of_join_equals_the_predicate_join_with_nulls(spark, seed):
+    rng = random.Random(seed)
+    data = [(k, s, t if rng.random() > 0.2 else None, st) for k, s, t, st in random_history(rng, 150)]
+    history = scd.build(steps(spark, data), "k", "seq", "ts")
+    probes = spark.createDataFrame([(i, rng.randrange(0, 10), str(date(2023, 12, 20) + timedelta(days=rng.randrange(120))) if i % 9 else None) for i in range(200)], "i int, k int, at string").withColumn("at", F.to_timestamp("at"))
+    got = scd.as_of_join(probes, history, "k", "at", "seq", ["state"])
+    h = history.select(F.col("k").alias("hk"), "valid_from", "valid_to", "is_current", "state")
+    same = (F.col("k") == F.col("hk")) & (F.col("valid_from") <= F.col("at")) & ((F.col("valid_to") > F.col("at")) | F.col("is_current"))
+    want = probes.join(h, same, "left")
+    assert sorted((r["i"], str(r["state"])) for r in got.collect()) == sorted((r["i"], str(r["state"])) for r in want.collect())
+
+
+def test_as_of_join_wants_times_in_order(spark):
+    history = scd.build(steps(spark, [(1, 1, "2024-02-01", "a"), (1, 2, "2024-01-01", "b")]), "k", "seq", "ts")
+    probes = spark.createDataFrame([(1, "2024-03-01")], "k int, at string").withColumn("at", F.to_timestamp("at"))
+    with pytest.raises(Exception, match="decrease"):
+        scd.as_of_join(probes, history, "k", "at", "seq", ["state"]).collect()
+
+
+def test_upsert_keeps_columns_and_rejects_repeats(spark):
+    target = spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (None, "n", "z")], "id int, a string, extra string")
+    source = spark.createDataFrame([(2, "B", 1), (3, "C", 2), (None, "N", 3)], "id int, a string, new int")
+    got = merge.upsert(target, source, ["id"])
+    assert got.columns == ["id", "a", "extra", "new"]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [(1, "a", "x", None), (None, "n", "z", None), (2, "B", "y", 1), (3, "C", None, 2), (None, "N", None, 3)]))
+    with pytest.raises(ValueError, match="2 rows"):
+        merge.upsert(target, source.union(source), ["id"])
+
+
+def test_upsert_path_switches_tables(spark, tmp_path):
+    path = str(tmp_path / "t")
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    assert tables.upsert_path(spark, path, frame([(1, "a", "x"), (2, "b", "y")], "id int, a string, extra string"), ["id"]) == 2
+    assert tables.upsert_path(spark, path, frame([(2, "B", 7), (3, "C", 8)], "id int, a string, new int"), ["id"]) == 3
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "a", "x", None), (2, "B", "y", 7), (3, "C", None, 8)]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+    (tmp_path / "t").rename(tmp_path / "t__old")  # lost between the two renames
+    assert tables.upsert_path(spark, path, frame([(1, "A")], "id int, a string"), ["id"]) == 3
+    with pytest.raises(ValueError):
+        tables.upsert_path(spark, path, frame([(9, "A"), (9, "B")], "id int, a string"), ["id"])
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_changes_between_null_fields_are_seen(spark):
+    old = spark.createDataFrame([(1, None, "x"), (2, "ab", "c"), (3, None, None)], "id int, a string, b string")
+    new = spark.createDataFrame([(1, "x", None), (2, "a", "bc"), (3, None, None)], "id int, a string, b string")
+    for json in (True, False):
+        found = merge.cdc_classify(*[ingest.payload_hash(f, ["a", "b"], "h", json) for f in (old, new)], ["id"], "h")
+        assert [r["change"] for r in found.orderBy("id").collect()] == ["UPDATE", "UPDATE", "UNCHANGED"]
+
+
+def test_weeks_hold_every_event(spark):
+    days = ["2024-01-01", "2024-01-20", "2023-12-01", None, "2024-03-01"]
+    cal = spark.createDataFrame([(d, "k", 1) for d in days], "d string, kind string, n_present long").withColumn("d", F.to_date("d"))
+    for span in ({}, {"first": "2024-01-01", "last": "2024-01-31"}, {"first": "2024-01-01"}):
+        weeks = calendar_ops.weekly_density(cal, "d", "kind", **span).collect()
+        assert sum(r["n_events"] for r in weeks) == 5 and sum(r["week"] is None for r in weeks) == 1
+        numbers = [r["week"] for r in weeks if r["week"] is not None]
+        assert numbers == list(range(min(numbers), max(numbers) + 1))
+
+
+def test_the_alert_is_on_all_errors_together(spark):
+    rows = [("ok", True)] * 94 + [(k, False) for k in "aabbcc"]
+    got = ingest.error_histogram(spark.createDataFrame(rows, "kind string, ok boolean"), F.col("kind"), F.col("ok")).collect()
+    assert [(r["n_errors"], round(r["total_rate"], 6), r["alert"]) for r in got] == [(2, 0.06, True)] * 3
