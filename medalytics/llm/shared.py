@@ -9,30 +9,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _file_system(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a staged table that nothing reads any more."""
-    files, target = _file_system(spark, path)
-    files.delete(target, True)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def stage(df: DataFrame, tag: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: cuts lineage and survives lost executors.
 
-    The folder goes when the driver ends.
+    The run's folder goes when the driver ends.
     """
     return stage_at(df, tag)[0]
 
 
 def stage_at(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     """As `stage`, with the path, for tables that are removed before the driver ends."""
-    spark = df.sparkSession
-    path = new_path(spark, f"llm-{tag}")
-    files, target = _file_system(spark, path)
-    files.deleteOnExit(target)
+    path = new_path(df.sparkSession, f"llm-{tag}")
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
