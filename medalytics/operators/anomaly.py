@@ -47,27 +47,38 @@ def rank_entities(
     id_total: float = V.SUPPLIER_FLAGS["id_total"],
     split_by_name: bool = False,
 ) -> DataFrame:
-    """Totals per entity with three warning flags and their number, largest total first."""
+    """Totals per entity with three warning flags and their number, largest total first.
+
+    Values are summed per entity, member and name first, all of it in hash aggregates; members are then
+    counted as rows and the greatest name is taken from few rows.
+    """
     keys = [entity, name] if name and split_by_name else [entity]
-    label = [F.max(name).alias(name)] if name and not split_by_name else []
     text = F.col(entity).cast("string")
     flags = {
         "flag_many_members": F.col("n_members") > many_members,
         "flag_high_value": F.col("max_value") > high_value,
         "flag_person_total": text.rlike(id_pattern) & (F.col("total_value") > id_total),
     }
-    return (
+    finest = list(dict.fromkeys([*keys, member, *([name] if name else [])]))
+    small = (
         df.filter(text.isNotNull() & (text != ""))
-        .groupBy(*keys)
-        .agg(
-            *label,
-            F.sum(value).alias("total_value"),
-            F.count(F.lit(1)).alias("n_documents"),
-            (F.sum(value).cast("double") / F.count(value)).alias("mean_value"),
-            F.max(value).alias("max_value"),
-            F.countDistinct(member).alias("n_members"),
-        )
-        .withColumns(flags)
+        .groupBy(*finest)
+        .agg(F.sum(value).alias("__sum"), F.count(F.lit(1)).alias("__rows"), F.count(value).alias("__values"), F.max(value).alias("__max"))
+    )
+    per_member = small.groupBy(*dict.fromkeys([*keys, member])).agg(
+        F.sum("__sum").alias("__sum"), F.sum("__rows").alias("__rows"), F.sum("__values").alias("__values"), F.max("__max").alias("__max")
+    )
+    totals = per_member.groupBy(*keys).agg(
+        F.sum("__sum").alias("total_value"),
+        F.sum("__rows").alias("n_documents"),
+        (F.sum("__sum").cast("double") / F.sum("__values")).alias("mean_value"),
+        F.max("__max").alias("max_value"),
+        F.count(member).alias("n_members"),
+    )
+    if name and not split_by_name:
+        totals = totals.join(small.groupBy(entity).agg(F.max(name).alias(name)), entity)
+    return (
+        totals.withColumns(flags)
         .withColumn("n_flags", sum((F.col(f).cast("int") for f in flags), F.lit(0)))
         .orderBy(F.col("total_value").desc(), *keys)
     )

@@ -38,10 +38,10 @@ def memberships(edges: DataFrame, member: str, group: str, label: str, page_size
         edges.select(member, group, label)
         .dropDuplicates([member, group])
         .groupBy(member, F.expr(f"`{group}` div {page_size}").alias("page"))
-        .agg(F.array_sort(F.collect_list(label)).alias("labels"))
+        .agg(F.array_sort(F.collect_list(label)).alias("labels"), F.count(group).alias("__n"))
     )
-    totals = edges.groupBy(member).agg(F.countDistinct(group).alias("n_groups"))
-    return paged.join(totals, member)
+    totals = paged.groupBy(member).agg(F.sum("__n").alias("n_groups"))
+    return paged.drop("__n").join(totals, member)
 
 
 def overlap_pairs(edges: DataFrame, group: str, member: str, heavy_degree: int = 512) -> DataFrame:

@@ -27,6 +27,8 @@ def _failed(rule: Expectation) -> Column:
 def profile(df: DataFrame, keys: list[str], critical: list[str]) -> DataFrame:
     """Rows, nulls and null share per critical column, distinct keys, duplicates and issues, in one row.
 
+    Issues are texts with their count and whole percent.
+
     Keys are compared as a struct, so a null part is a value of its own.
     """
     nulls = [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in critical]
@@ -40,11 +42,16 @@ def profile(df: DataFrame, keys: list[str], critical: list[str]) -> DataFrame:
         )
     )
     total, duplicates = F.col("total"), F.col("total") - F.col("distinct_keys")
+
+    def counted(n, what):
+        share = F.floor(n * 100 / total).cast("string")
+        return F.concat(n.cast("string"), F.lit(f" {what} ("), share, F.lit("%)"))
+
     issues = F.concat_ws(
         "; ",
         F.when(total == 0, F.lit("empty table")),
-        *[F.when(F.col(f"nulls_{c}") > 0, F.lit(f"nulls in {c}")) for c in critical],
-        F.when(duplicates > 0, F.lit("duplicate keys")),
+        *[F.when(F.col(f"nulls_{c}") > 0, counted(F.col(f"nulls_{c}"), f"nulls in {c}")) for c in critical],
+        F.when(duplicates > 0, counted(duplicates, "duplicate keys")),
     )
     return stats.withColumns(
         {f"pct_{c}": F.coalesce(F.try_divide(F.col(f"nulls_{c}") * 100, total), F.lit(0.0)) for c in critical}
@@ -68,6 +75,14 @@ def expectation_report(df: DataFrame, rules: list[Expectation]) -> DataFrame:
     return counted.select("total", F.inline(lines)).withColumn("failure_rate", rate)
 
 
+def uniqueness_report(df: DataFrame, rule: str, keys: list[str], action: str = "DROP") -> DataFrame:
+    """The report line of a rule that a key occurs once: its failures are the rows beyond the first."""
+    counted = df.groupBy(F.struct(*keys)).agg(F.count(F.lit(1)).alias("__n"))
+    counted = counted.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("total"), F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("failed"))
+    rate = F.coalesce(F.try_divide("failed", "total"), F.lit(0.0))
+    return counted.select("total", F.lit(rule).alias("rule"), F.lit(action).alias("action"), "failed", rate.alias("failure_rate"))
+
+
 def drop_failures(df: DataFrame, rules: list[Expectation]) -> DataFrame:
     """Rows that pass every rule whose action is DROP."""
     keep = [F.coalesce(r.holds, F.lit(False)) for r in rules if r.action == "DROP"]
@@ -118,13 +133,10 @@ def table_profile(df: DataFrame, parent: str, child: str, critical: list[str]) -
         F.coalesce(F.sum("__n"), F.lit(0)).alias("n_rows"),
         F.count(F.lit(1)).alias("n_pairs"),
         *[F.coalesce(F.sum(f"nulls_{c}"), F.lit(0)).alias(f"nulls_{c}") for c in critical],
+        F.countDistinct(parent).alias("n_parents"),
+        F.countDistinct(child).alias("n_children"),
     )
     return base.withColumns(
-        {
-            "n_parents": df.agg(F.countDistinct(parent)).scalar(),
-            "n_children": df.agg(F.countDistinct(child)).scalar(),
-        }
-    ).withColumns(
         {
             "mean_children": F.coalesce(F.try_divide("n_pairs", "n_parents"), F.lit(0.0)),
             "duplicate_pct": F.coalesce(

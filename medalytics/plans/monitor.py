@@ -153,8 +153,9 @@ SELECT CAST(ts AS DATE) AS day, body, count(*) AS n_sessions, count(subject) AS
     "run_log",
 )
 def votes_quality_layers(spark, d):
-    """Bronze rules, silver keys and standard codes, gold metrics with alerts."""
-    clean = quality.drop_failures(X.run_log(spark, d), session_rules())
+    """Bronze rules, enforced before anything is built on them, silver keys and standard codes, gold metrics with alerts."""
+    clean, report = quality.expect(X.run_log(spark, d), session_rules())
+    quality.enforce(report)
     silver = keys.standardize(sessions(clean).withColumnRenamed("notebook", "body"), ["body"])
     silver = keys.surrogate_key(keys.dedup_keep_first(silver, ["log_id"], ["ts"]), ["log_id"], "sk")
     urgency = F.when(F.col("subject").isNotNull(), C.by_body(F.col("body"), "NB0"))

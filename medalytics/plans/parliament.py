@@ -177,24 +177,54 @@ def proposicoes_scd2(tramitacoes: DataFrame) -> DataFrame:
     return scd.build(rows, "id_proposicao", "sequencia", "data_hora_tramitacao")
 
 
+# the names of the rules are fixed values
 def votacoes_rules() -> list[Expectation]:
+    """Rules over single vote sessions, of the raw and the typed rows."""
     return [
-        Expectation("id_presente", F.col("id_votacao").isNotNull(), "DROP"),
-        Expectation("data_presente", F.col("data_votacao").isNotNull() | F.col("data_hora_registro").isNotNull(), "WARN"),
-        Expectation("orgao_presente", F.col("sigla_orgao") != "", "WARN"),
-        Expectation("data_na_legislatura", F.col("data_votacao") >= F.lit(V.FIRST_TERM_DAY).cast("date"), "WARN"),
+        Expectation("id_valido", F.col("id_votacao").isNotNull(), "DROP"),
+        Expectation("data_valida", F.col("data_votacao").isNotNull() | F.col("data_hora_registro").isNotNull(), "WARN"),
+        Expectation("orgao_preenchido", F.col("sigla_orgao") != "", "WARN"),
+        Expectation("data_legislatura_57", F.col("data_votacao") >= F.lit(V.FIRST_TERM_DAY).cast("date"), "WARN"),
         Expectation("id_positivo", F.coalesce(F.col("id_votacao").try_cast("bigint") > 0, F.lit(True)), "FAIL"),
     ]
 
 
+def metricas_rules() -> list[Expectation]:
+    """Rules over the groups of the daily metrics."""
+    return [
+        Expectation("ao_menos_uma_votacao", F.col("total_votacoes") > 0, "WARN"),
+        Expectation("orgao_valido", F.col("sigla_orgao").isNotNull(), "WARN"),
+    ]
+
+
+def alertas_rules() -> list[Expectation]:
+    """Rules over the sessions that alerts are made of."""
+    return [
+        Expectation("urgencia_alta", F.col("urgencia_classificada").isin(V.ALERT_LEVELS), "DROP"),
+        Expectation("proposicao_presente", F.col("proposicao_objeto").isNotNull(), "WARN"),
+    ]
+
+
 def votacoes_quality(votacoes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Clean vote sessions, and the report that is to be enforced before they are written."""
+    """Clean vote sessions, one per id, and the report that is to be enforced before they are written."""
     rows = keys.standardize(keys.project(votacoes, VOTACOES), ["sigla_orgao"])
     clean, report = quality.expect(rows, votacoes_rules())
+    report = report.unionByName(quality.uniqueness_report(clean, "id_unico", ["id_votacao"]))
     clean = keys.surrogate_key(clean, ["id_votacao"], "sk_votacao")
     return keys.dedup_keep_first(clean, ["id_votacao"], ["data_hora_registro", "data_votacao", "proposicao_objeto"]), report
 
 
+def votacoes_camadas(votacoes: DataFrame) -> dict[str, DataFrame]:
+    """Sessions, daily metrics and alerts under all ten rules, and their report; a FAIL rule stops here."""
+    clean, report = votacoes_quality(votacoes)
+    quality.enforce(report)
+    metrics = votacoes_metricas(clean)
+    body = C.by_body(F.col("sigla_orgao"), V.PLENARY_BODY)
+    alerts, alert_report = quality.expect(clean.withColumn("urgencia_classificada", body), alertas_rules())
+    report = report.unionByName(quality.expectation_report(metrics, metricas_rules())).unionByName(alert_report)
+    return {"votacoes_quality": clean, "votacoes_metricas": metrics, "votacoes_alertas": alerts.filter("proposicao_objeto IS NOT NULL"), "relatorio": report}
+
+
 # gold --------------------------------------------------------------------------------------------
 
 

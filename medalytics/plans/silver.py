@@ -271,7 +271,8 @@ def duration_by_party(spark, d):
     "quality_profile",
     """SELECT count(*) AS total, count(DISTINCT (member_id, kind)) AS distinct_keys, count(*) FILTER (member_id IS NULL) AS nulls_member_id,
   count(*) FILTER (kind IS NULL) AS nulls_kind, round(count(*) FILTER (member_id IS NULL) * 100.0 / count(*), 6) AS pct_member_id,
-  0.0::DOUBLE AS pct_kind, count(*) - count(DISTINCT (member_id, kind)) AS duplicates, 'nulls in member_id; duplicate keys' AS issues FROM rough""",
+  0.0::DOUBLE AS pct_kind, count(*) - count(DISTINCT (member_id, kind)) AS duplicates, count(*) FILTER (member_id IS NULL) || ' nulls in member_id (' || count(*) FILTER (member_id IS NULL) * 100 // count(*) || '%); ' ||
+  (count(*) - count(DISTINCT (member_id, kind))) || ' duplicate keys (' || (count(*) - count(DISTINCT (member_id, kind))) * 100 // count(*) || '%)' AS issues FROM rough""",
     "rough",
 )
 def quality_profile(spark, d):

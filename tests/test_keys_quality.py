@@ -59,7 +59,7 @@ def test_profile_counts_null_keys_as_keys(spark):
     df = spark.createDataFrame([("a", None), ("a", "b"), (None, "a"), ("a", "b")], "x string, y string")
     got = quality.profile(df, ["x", "y"], ["x"]).first()
     assert (got["total"], got["distinct_keys"], got["duplicates"], got["nulls_x"], got["pct_x"]) == (4, 3, 1, 1, 25.0)
-    assert got["issues"] == "nulls in x; duplicate keys"
+    assert got["issues"] == "1 nulls in x (25%); 1 duplicate keys (25%)"
 
 
 def test_profile_of_an_empty_table(spark):

@@ -167,10 +167,17 @@ def test_vote_sessions(spark):
     ]
     clean, report = P.votacoes_quality(raw(spark, P.VOTACOES, rows))
     quality.enforce(report)
-    assert {r["rule"]: r["failed"] for r in report.collect()} == {"id_presente": 1, "data_presente": 1, "orgao_presente": 2, "data_na_legislatura": 2, "id_positivo": 0}
+    assert {r["rule"]: r["failed"] for r in report.collect()} == {"id_valido": 1, "data_valida": 1, "orgao_preenchido": 2, "data_legislatura_57": 2, "id_positivo": 0, "id_unico": 1}
     assert clean.count() == 2
     assert {(r["sigla_orgao"], r["total_votacoes"], r["com_proposicao"]) for r in P.votacoes_metricas(clean).collect()} == {("PLEN", 1, 1), (None, 1, 0)}
     assert [r["urgencia_classificada"] for r in P.votacoes_alertas(clean).collect()] == ["CRITICA"]
+    layers = P.votacoes_camadas(raw(spark, P.VOTACOES, rows))
+    report = {r["rule"]: (r["total"], r["failed"], r["action"]) for r in layers["relatorio"].collect()}
+    assert len(report) == 10 and report["ao_menos_uma_votacao"] == (2, 0, "WARN") and report["orgao_valido"] == (2, 1, "WARN")
+    assert report["urgencia_alta"] == (2, 1, "DROP") and report["proposicao_presente"] == (2, 1, "WARN")
+    assert [r["urgencia_classificada"] for r in layers["votacoes_alertas"].collect()] == ["CRITICA"]
+    with pytest.raises(quality.ExpectationFailed):
+        P.votacoes_camadas(raw(spark, P.VOTACOES, [{"id": "-3"}]))
     _, report = P.votacoes_quality(raw(spark, P.VOTACOES, [{"id": "-3"}]))
     with pytest.raises(quality.ExpectationFailed):
         quality.enforce(report)
