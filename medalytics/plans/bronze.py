@@ -36,6 +36,23 @@ def envelope_explode(spark, d):
     return pages.explode_envelope(landed_pages(spark, d), TURN)
 
 
+@query(
+    "landed_files",
+    """SELECT conv_id, turn, role, text, '{"size":"' || length(text) || '"}' AS _rescued, '/conversations' AS _source_endpoint FROM conversations""",
+)
+def landed_files(spark, d):
+    """One file per page, read back whole; fields that the schema does not know are rescued, audit columns added."""
+    folder = new_path(spark, "landing")
+    talk = X.table(spark, d, "conversations").withColumn("size", F.length("text"))
+    record = F.struct("conv_id", "turn", "role", "text", "size")
+    paged = talk.groupBy("conv_id", F.floor(F.col("turn") / PAGE_SIZE)).agg(F.collect_list(record).alias("dados"))
+    paged.select(F.to_json(F.struct("dados")).alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
+    records = pages.explode_records(pages.read_pages(spark, folder).select("value"))
+    schema = T.StructType([T.StructField("conv_id", T.LongType()), *TURN.fields])
+    rows = ingest.with_audit(pages.rescue(records, "record", schema), "/conversations", "20240131_000000")
+    return rows.drop("_ingested_at", "_batch_id")
+
+
 PROFILE = T.StructType(
     [
         T.StructField("id", T.LongType()),

@@ -6,11 +6,13 @@ readers of the open-data layers know. Nothing is read or written here.
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..functions import fixed_values as V
-from ..operators import anomaly, calendar_ops, engagement, groups, keys, quality, scd, textmatch
+from ..operators import anomaly, calendar_ops, engagement, groups, ingest, keys, quality, scd, textmatch
 from ..operators.quality import Expectation
+from ..sources import pages
 
 # fixed values: raw field, silver column and type of every silver table ------------------------------
 
@@ -123,6 +125,42 @@ ORGAOS = [
     ("tipoOrgao", "tipo_orgao", "string"),
 ]
 
+# bronze ------------------------------------------------------------------------------------------
+
+#: Endpoint and fields of every source; columns that start with an underscore are added while landing.
+SOURCES = {
+    "deputados": ("/deputados", DEPUTADOS),
+    "despesas": ("/deputados/despesas", DESPESAS),
+    "eventos": ("/eventos", EVENTOS),
+    "votos": ("/votacoes/votos", VOTOS),
+    "tramitacoes": ("/proposicoes/tramitacoes", TRAMITACOES),
+    "votacoes": ("/votacoes", VOTACOES),
+    "frentes": ("/frentes/membros", ATLAS),
+    "orgaos": ("/orgaos", ORGAOS),
+}
+
+
+def raw_schema(mapping) -> T.StructType:
+    """Text fields of a source as they are landed; `a.b` is field b of struct a."""
+    nested = {}
+    for name, _, _ in mapping:
+        if not name.startswith("_"):
+            outer, _, inner = name.partition(".")
+            nested.setdefault(outer, []).extend([inner] if inner else [])
+    texts = lambda names: T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return T.StructType([T.StructField(n, texts(inner) if inner else T.StringType()) for n, inner in nested.items()])
+
+
+def bronze(landed: DataFrame, source: str, batch_id: str | None = None) -> DataFrame:
+    """Raw rows of a source out of its pages (`value`, and what was added while landing).
+
+    Fields outside the source's schema stay in `_rescued`; audit columns are added.
+    """
+    endpoint, mapping = SOURCES[source]
+    records = pages.explode_records(landed)
+    return ingest.with_audit(pages.rescue(records, "record", raw_schema(mapping)), endpoint, batch_id)
+
+
 # silver ------------------------------------------------------------------------------------------
 
 

@@ -19,7 +19,14 @@ def read_categories(spark: SparkSession, path: str) -> DataFrame:
 
 def payload_kind(value, payload: str = "dados"):
     """list, object, missing (no payload or an empty one) or other."""
-    body = F.get_json_object(value, f"$.{payload}")
+    return _kind(_body(value, payload))
+
+
+def _body(value, payload):
+    return F.get_json_object(value, f"$.{payload}")
+
+
+def _kind(body):
     return (
         F.when(body.isNull() | body.isin("[]", "{}", "", "null"), F.lit("missing"))
         .when(body.startswith("["), F.lit("list"))
@@ -31,14 +38,22 @@ def payload_kind(value, payload: str = "dados"):
 def explode_envelope(pages: DataFrame, schema: T.StructType, payload: str = "dados", value: str = "value") -> DataFrame:
     """Records of every page: each element of a list, an object as one row; other payloads give none.
 
-    The other columns of `pages` are kept beside the fields of the record.
+    The other columns of `pages` are kept beside the fields of the record. The payload is cut out of the
+    page as text once; parsed as a list of records, an object becomes a list of one.
     """
     kept = [c for c in pages.columns if c != value]
-    many = F.from_json(value, T.StructType([T.StructField(payload, T.ArrayType(schema))]))[payload]
-    one = F.from_json(value, T.StructType([T.StructField(payload, schema)]))[payload]
-    kind = payload_kind(F.col(value), payload)
-    rows = F.when(kind == "list", many).when(kind == "object", F.array(one))
-    return pages.select(*kept, F.explode(rows).alias("__r")).select(*kept, "__r.*")
+    cut = pages.select(*kept, _body(F.col(value), payload).alias("__body"))
+    records = F.from_json("__body", T.ArrayType(schema))
+    return cut.filter(_kind(F.col("__body")).isin("list", "object")).select(*kept, F.explode(records).alias("__r")).select(*kept, "__r.*")
+
+
+def explode_records(pages: DataFrame, payload: str = "dados", value: str = "value", out: str = "record") -> DataFrame:
+    """The JSON text of every record, beside the other columns of `pages`."""
+    kept = [c for c in pages.columns if c != value]
+    cut = pages.select(*kept, _body(F.col(value), payload).alias("__body"))
+    kind = _kind(F.col("__body"))
+    rows = F.when(kind == "list", F.from_json("__body", T.ArrayType(T.StringType()))).when(kind == "object", F.array("__body"))
+    return cut.select(*kept, F.explode(rows).alias(out))
 
 
 def page_report(pages: DataFrame, payload: str = "dados", value: str = "value") -> DataFrame:

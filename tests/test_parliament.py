@@ -1,5 +1,7 @@
 """The parliamentary layers from raw records to gold on a small parliament."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -189,3 +191,20 @@ def test_nested_member_record_to_dimension(spark):
     flat = pages.flatten_struct(pages.explode_envelope(spark.createDataFrame([(record,)], "value string"), schema), {"ultimoStatus": "status_", "ultimoStatus.gabinete": "gabinete_"})
     wanted = [m for m in P.DEPUTADOS if m[0] in flat.columns]
     assert len(wanted) == 5 and flat.first()["gabinete_nome"] == "5"
+
+
+def test_page_files_to_bronze_and_silver(spark, tmp_path):
+    """Files of two pages, one a single object; a field nobody knows is rescued; numbers arrive as text."""
+    folder = tmp_path / "despesas"
+    folder.mkdir()
+    line = lambda code, value, **more: {"codDocumento": code, "tipoDespesa": "A", "valorDocumento": value, **more}
+    (folder / "1.json").write_text(json.dumps({"dados": [line("1", 5.5), line("2", "7", novo={"x": 1})], "links": [{"rel": "next"}]}))
+    (folder / "2.json").write_text(json.dumps({"dados": line("3", 8)}))
+    (folder / "3.json").write_text(json.dumps({"dados": []}))
+    landed = pages.read_pages(spark, str(folder)).select("value", F.lit("9").alias("_deputado_id"))
+    rows = P.bronze(landed, "despesas", "b").orderBy("codDocumento").collect()
+    assert [(r["codDocumento"], r["valorDocumento"], r["_deputado_id"], r["_batch_id"]) for r in rows] == [("1", "5.5", "9", "b"), ("2", "7", "9", "b"), ("3", "8", "9", "b")]
+    assert [r["_rescued"] for r in rows] == [None, '{"novo":"{\\"x\\":1}"}', None] and rows[0]["_source_endpoint"] == "/deputados/despesas"
+    for source in ("deputados", "votos", "frentes", "votacoes"):
+        schema = P.bronze(landed, source).schema
+        assert set(P.raw_schema(P.SOURCES[source][1]).fieldNames()) <= set(schema.fieldNames())
