@@ -1,5 +1,7 @@
 """Members and groups: concentration, memberships, overlap, cohesion."""
 
+from math import ceil
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -7,6 +9,8 @@ from ..functions.ordered import running_total
 from ..functions.scratch import store
 from ..functions.skew import join_hot, join_lookup
 
+BLOCK_GROUPS = 1000
+
 
 def hhi(edges: DataFrame, group: str, part: str) -> DataFrame:
     """Herfindahl index of the parts of every group, number of parts and effective number.
@@ -66,16 +70,21 @@ def overlap_pairs(edges: DataFrame, group: str, member: str, heavy_degree: int =
         .agg(F.bit_or(bit).alias("__mask"))
     )
     both = F.bit_count(F.col("__mask").bitwiseAND(F.col("__other_mask"))).cast("bigint")
-    heavy_pairs = _pairs(masks, group, "__chunk", F.sum(both)).filter("shared > 0")
+    # every chunk would hold the pairs of all groups; blocks of groups on both sides spread them
+    blocks = F.lit(max(1, ceil(edges.select(group).distinct().count() / BLOCK_GROUPS)))
+    own, every = F.pmod(F.xxhash64(group), blocks), F.explode(F.sequence(F.lit(0), blocks - 1))
+    left = masks.withColumn("__left", own.cast("int")).withColumn("__right", every)
+    right = masks.withColumn("__right", own.cast("int")).withColumn("__left", every)
+    heavy_pairs = _pairs(left, group, ["__chunk", "__left", "__right"], F.sum(both), right).filter("shared > 0")
     merged = light_pairs.unionByName(heavy_pairs)
     return merged.groupBy(f"{group}_a", f"{group}_b").agg(F.sum("shared").alias("shared"))
 
 
-def _pairs(side: DataFrame, group: str, on: str, shared) -> DataFrame:
+def _pairs(side: DataFrame, group: str, on, shared, other: DataFrame | None = None) -> DataFrame:
     """Ordered pairs of groups that meet in `on`, summed before they are shuffled."""
     a, b = f"{group}_a", f"{group}_b"
     left = side.withColumnRenamed(group, a)
-    right = side.withColumnsRenamed({group: b, "__mask": "__other_mask"})
+    right = (side if other is None else other).withColumnsRenamed({group: b, "__mask": "__other_mask"})
     return left.join(right, on).filter(F.col(a) < F.col(b)).groupBy(a, b).agg(shared.alias("shared"))
 
 

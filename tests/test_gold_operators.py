@@ -52,7 +52,7 @@ def edges_of(rng, members, groups_, n):
 
 
 @pytest.mark.parametrize("heavy", [0, 3, 10_000])
-def test_overlap_pairs_by_brute_force(spark, heavy):
+def test_overlap_pairs_by_brute_force(spark, heavy, monkeypatch):
     """All heavy, mixed and all light members give the same exact counts."""
     rng = random.Random(5)
     edges = edges_of(rng, 150, 40, 900) + [(g, 999) for g in range(40)]
@@ -64,8 +64,10 @@ def test_overlap_pairs_by_brute_force(spark, heavy):
         if sets[a] & sets[b]:
             want[a, b] = len(sets[a] & sets[b])
     df = spark.createDataFrame(edges + edges[:10] + [(None, 1)], "g int, m int")
-    got = {(r["g_a"], r["g_b"]): r["shared"] for r in groups.overlap_pairs(df, "g", "m", heavy_degree=heavy).collect()}
-    assert got == want
+    for size in (1000, 3):
+        monkeypatch.setattr(groups, "BLOCK_GROUPS", size)
+        got = {(r["g_a"], r["g_b"]): r["shared"] for r in groups.overlap_pairs(df, "g", "m", heavy_degree=heavy).collect()}
+        assert got == want
 
 
 def test_hhi(spark):
