@@ -21,6 +21,13 @@ def vectors(spark, seed=0, n=400, dim=12):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, id string")
 
 
+def product(x, y):
+    total = 0.0
+    for a, b in zip(x.tolist(), y.tolist()):
+        total += a * b
+    return total
+
+
 def good(rows):
     keep = {}
     for r in rows:
@@ -37,7 +44,7 @@ def test_search(spark, sizes):
     want = []
     for q, (x, _) in keep.items():
         if q % 20 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(x.tolist(), y.tolist())), v) for v, (y, _) in keep.items() if v != q and len(y) == len(x))
+            scored = sorted((-product(x, y), v) for v, (y, _) in keep.items() if v != q and len(y) == len(x))
             want += [(q, r + 1, v, -s) for r, (s, v) in enumerate(scored[:20])]
     got = ann.search(df, lambda i: i % 20 == 0, query_rows=sizes[0], candidate_rows=sizes[1])
     assert sorted(map(tuple, got.collect())) == sorted(want)
