@@ -39,8 +39,11 @@ def _curves(shares: DataFrame, exponents, demand: float) -> list[Curve]:
     for i, t in enumerate(exponents):
         tempered = F.exp(F.lit(float(t)) * F.log(p))
         asked += [F.sum(tempered).alias(f"z{i}"), F.sum(tempered * F.log(p)).alias(f"a{i}"), F.max(tempered / p).alias(f"m{i}")]
-    row = shares.agg(*asked, *[F.log(F.sum(F.exp(F.lit(float(t)) * F.log(p)))).alias(f"l{i}") for i, t in enumerate(exponents)]).first()
-    return [Curve(row[f"l{i}"] - float(t) * row[f"a{i}"] / row[f"z{i}"], demand * row[f"m{i}"] / row[f"z{i}"]) for i, t in enumerate(exponents)]
+    row = shares.agg(*asked).first()
+    return [
+        Curve(math.log(row[f"z{i}"]) - float(t) * row[f"a{i}"] / row[f"z{i}"], demand * row[f"m{i}"] / row[f"z{i}"])
+        for i, t in enumerate(exponents)
+    ]
 
 
 def _bisect(holds, low=0.0, high=1.0) -> tuple[float, float]:
