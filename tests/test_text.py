@@ -2,9 +2,6 @@
 
 import random
 
-import pytest
-from pyspark.sql import functions as F
-
 from medalytics.functions import fixed_values as V
 from medalytics.operators import textmatch
 
