@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import fixed_values as V
+from ..functions.scratch import store
+from ..functions.skew import join_lookup
 
 
 def classify(df: DataFrame, text: str, rules, default: str, out: str = "theme") -> DataFrame:
@@ -47,34 +49,43 @@ def mentions(hay: DataFrame, needles: DataFrame, text: str, needle_id: str, name
     one of its words, its anchor: the rarest of the words with a space on either side in the name, which
     must be whole words of the text too. A name without such a word has for anchors all words of the texts
     that contain its longest part; they are found by grams of up to three letters over the distinct words.
-    So rows meet by equal words, and `contains` only confirms them.
+    So rows meet by equal words, and `contains` only confirms them. Names, anchors and the pairs to confirm are
+    written and broadcast where they are small, so texts are then not shuffled.
     """
     listed = needles.select(F.col(needle_id), F.explode(F.array(*names)).alias("__name")).filter(F.trim("__name") != "").distinct()
-    own = F.md5(F.concat(F.to_json(F.struct(*keep), {"ignoreNullFields": "false"}), F.col(text)))
+    own = F.unhex(F.md5(F.concat(F.to_json(F.struct(*keep), {"ignoreNullFields": "false"}), F.col(text))))
     rows = hay.filter(F.col(text).isNotNull()).select(*keep, F.col(text).alias("__text"), own.alias("__row"))
-    words = rows.select("__row", F.explode(F.array_distinct(F.split("__text", " "))).alias("__word")).distinct()
-    common = words.groupBy("__word").agg(F.count(F.lit(1)).alias("__n"))
+    words = rows.select("__row", F.explode(F.array_distinct(F.split("__text", " "))).alias("__word"))
 
     parts = F.split("__name", " ")
     inner = F.filter(F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0))), lambda w: w != "")
     cut = listed.select("__name").distinct().select("__name", parts.alias("__parts"), inner.alias("__inner"))
-    exact = cut.select("__name", F.explode("__inner").alias("__word")).join(common, "__word")
-    exact = exact.groupBy("__name").agg(F.min_by("__word", "__n").alias("__word"))
-    longest = F.array_max(F.transform("__parts", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    loose = cut.filter(F.size("__inner") == 0).select("__name", longest.alias("__part"))
-    loose = loose.withColumn("__gram", F.substring("__part", 1, 3))
+    exact = cut.select("__name", F.explode("__inner").alias("__word"))
+    met = store(join_lookup(words, exact.select("__word").distinct(), ["__word"], "inner"), "name-words").df
+    common = met.groupBy("__word").agg(F.count(F.lit(1)).alias("__n"))
+    anchors = exact.join(common, "__word").groupBy("__name").agg(F.min_by("__word", "__n").alias("__word"))
+    held = join_lookup(met, anchors, ["__word"], "inner")
+    loose = cut.filter(F.size("__inner") == 0)
+    if not loose.isEmpty():
+        parts_found = _loose_anchors(loose, words.select("__word").distinct())
+        held = held.unionByName(join_lookup(words, parts_found, ["__word"], "inner"))
+    held = held.select("__row", "__name").distinct()
+    found = join_lookup(rows, held, ["__row"], "inner").filter(F.contains("__text", "__name"))
+    pairs = join_lookup(found, listed, ["__name"], "inner").select(*keep, needle_id)
+    return pairs.distinct() if len(names) > 1 else pairs
+
+
+def _loose_anchors(names: DataFrame, spelled: DataFrame) -> DataFrame:
+    """For names without an inner word all words that contain their longest part, found by its first three letters."""
 
     def grams_of(n):
         return F.transform(F.sequence(F.lit(1), F.length("__word")), lambda i: F.substr("__word", i, F.lit(n)))
 
     grams = F.flatten(F.array(*[grams_of(n) for n in (1, 2, 3)]))
-    spelled = common.filter("__word <> ''").select("__word", F.explode(F.array_distinct(grams)).alias("__gram"))
-    loose = loose.join(spelled, "__gram").filter(F.contains("__word", "__part")).select("__name", "__word")
-
-    anchored = words.join(exact.unionByName(loose), "__word").select("__row", "__name").distinct()
-    found = rows.join(anchored, "__row").filter(F.contains("__text", "__name")).join(listed, "__name")
-    pairs = found.select(*keep, needle_id)
-    return pairs.distinct() if len(names) > 1 else pairs
+    longest = F.array_max(F.transform("__parts", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    wanted = names.select("__name", longest.alias("__part")).withColumn("__gram", F.substring("__part", 1, 3))
+    spelled = spelled.filter("__word <> ''").select("__word", F.explode(F.array_distinct(grams)).alias("__gram"))
+    return wanted.join(spelled, "__gram").filter(F.contains("__word", "__part")).select("__name", "__word")
 
 
 def mention_timeline(
