@@ -8,23 +8,16 @@ from pyspark.sql import functions as F
 
 from .components import components, local_stars
 from .shared import stage
+from .shingles import SEED, bounds, similar_links, sketches
 
-SEED = 42
-LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 MAX_PREFIX_BITS = 16
 
 
 def fingerprint(text: bytes, words: int = 3) -> int:
     """SimHash over the word shingles of a text, repeats counted, as an unsigned number of 64 bits."""
-    parts = text.translate(LOWER).split()
-    if not parts:
+    joined, starts, ends = bounds(text, words)
+    if not starts:
         return 0
-    size = min(words, len(parts))
-    joined = b" ".join(parts)
-    lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-    ends = np.cumsum(lengths) + np.arange(len(parts))
-    starts = ends - lengths
-    starts, ends = starts[: len(parts) - size + 1].tolist(), ends[size - 1 :].tolist()
     digest, ones = xxhash.xxh64_digest, np.zeros(64, np.int64)
     for at in range(0, len(starts), 1 << 16):
         span = slice(at, at + (1 << 16))
@@ -149,16 +142,22 @@ def near_links(values: DataFrame, budget: int = 2, per_subtree: int = 4096) -> D
     return blocks.groupBy("lo", "hi", "i", "j").applyInArrow(joined, "a long, b long")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, budget: int = 2) -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, budget: int = 2, similarity: float | None = None) -> DataFrame:
     """(id, body, fp, component_id) per row: the group is named by the smallest id that links lead to.
 
+    Links join fingerprints of at most `budget` differing bits. With a `similarity` they join texts whose
+    sets of shingles have at least that Jaccard similarity instead; `fp` is then the digest of the set and
+    `budget` is not used, as SimHashes of texts of similarity 0.8 differ in about 10 bits, too many for a trie.
+
     Rows of one fingerprint, texts without words included (fingerprint zero), are one node of the trie
     whatever their number. A null text counts as empty. Null ids are grouped like others but name no
     group; a group of null ids only has a null name. Other columns are not read.
     """
-    rows = stage(fingerprints(docs, id_col, text_col, words), "fingerprints")
+    made = fingerprints(docs, id_col, text_col, words) if similarity is None else sketches(docs, id_col, text_col, words)
+    rows = stage(made, "fingerprints")
     values = stage(rows.groupBy("fp").agg(F.min("id").alias("least")), "values")
-    parts = components(near_links(values.select("fp"), budget))
+    links = near_links(values.select("fp"), budget) if similarity is None else similar_links(docs, rows, id_col, text_col, words, similarity)
+    parts = components(links)
     named = values.join(parts.select(F.col("node").alias("fp"), "component"), "fp", "left")
     named = stage(named.select("fp", "least", F.coalesce("component", "fp").alias("part")), "parts")
     least = stage(named.groupBy("part").agg(F.min("least").alias("component_id")), "part-names")
@@ -170,9 +169,9 @@ def hex16(value: Column) -> Column:
     return F.lpad(F.lower(F.hex(value)), 16, "0")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with one row of each near-duplicate group: that of the smallest id (null last), then of the least text digest."""
-    groups = stage(near_groups(docs, id_col, text_col), "groups")
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, budget: int = 2, similarity: float | None = None) -> DataFrame:
+    """`docs` with one row of each group of `near_groups`: that of the smallest id (null last), then of the least text digest."""
+    groups = stage(near_groups(docs, id_col, text_col, words, budget, similarity), "groups")
     # null names stand for several groups only if all ids are null: the fingerprint's part then decides
     order = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("body"))
     kept = groups.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("own")).agg(F.min(order).alias("first"))
