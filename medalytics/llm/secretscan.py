@@ -15,10 +15,11 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # a run of 24 or more; shorter runs fail and
 KINDS = ("assign", "access", "hex", "guess")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 
-#: Words beside which a value may be a credential; the first group is what follows them.
+#: Words beside which a value may be a credential; the first group is what follows them. It is looked ahead at,
+#: so that a value which is refused hides no context within it.
 CONTEXT = re.compile(
     r"""(?:pass(?:word|wd|phrase|code)?|pwd|auth(?:orization)?|bearer|credentials?|login|secret|token|(?:private|access|api|signing)[_-]?key)"""
-    r"""["']?\x20*(?::=|=>|[:=]|\x20)\x20*["']?([!-&(-~]{8,})""",
+    r"""(?=["']?\x20*(?::=|=>|[:=]|\x20)\x20*["']?([!-&(-~]{8,}))""",
     re.I | re.A,
 )
 HINTS = (b"pass", b"pwd", b"auth", b"bearer", b"credential", b"login", b"secret", b"token", b"key")
@@ -120,17 +121,22 @@ def base_spans(text: str):
 
 
 def guess_spans(text: str, taken, min_bits: float):
-    """Values beside credential words that cost at least `min_bits` to guess and touch no span of `taken`.
+    """Values beside credential words that cost at least `min_bits` to guess and do not lie within one span of `taken`.
 
-    A value in which letters and digits or other signs are not mixed is prose, not a credential.
+    A value of letters alone is prose, not a credential; digits or other signs must be mixed in. A value that
+    reaches beyond a span of `taken` is given whole. Values that end alike are given once, from the first context on.
     """
+    last = 0
     for m in CONTEXT.finditer(text):
+        if m.end(1) <= last:
+            continue
         start, value = m.start(1), m[1].rstrip(".,;:!?)]}>\"'")
         end = start + len(value)
-        mixed = any(c.isalpha() for c in value) and any(c.isdigit() for c in value)
-        if len(value) >= 8 and mixed and not any(a < end and start < b for _, a, b in taken):
+        mixed = any(c.isalpha() for c in value) and not value.isalpha()
+        if len(value) >= 8 and mixed and not any(a <= start and end <= b for _, a, b in taken):
             bits = guess_bits(value)
             if bits >= min_bits:
+                last = m.end(1)
                 yield "guess", start, end, bits
 
 
