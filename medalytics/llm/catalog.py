@@ -5,7 +5,7 @@ import string
 
 from pyspark.sql import functions as F
 
-from . import ann, hnsw, langid, linededup, mixing, pieces, secretscan, simhash, suffixdedup, warc
+from . import ann, audit, hnsw, langid, linededup, merkle, mixing, pieces, secretscan, simhash, suffixdedup, toxicity, warc
 from .shared import table
 
 #: A file of pieces with byte fallback; any other may be given to `pieces.vocabulary`.
@@ -129,3 +129,123 @@ def op10_language(spark, folder):
     found = langid.identify(docs, langid.learned_from(docs), keep=["doc_id"])
     held_out = F.coalesce(langid.remainder(F.col("row.doc_id")) == 1, F.lit(False))
     return found.select("row.doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+OP11_SQL = """
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words,
+        doc_id > min(doc_id) OVER (PARTITION BY text) AS later FROM d),
+m AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+f AS (SELECT part, len(words) < 200 AS a, 100 * len(list_distinct(words)) < 50 * len(words) AS b,
+        100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) AS c, regexp_matches(text, '[#$%&*|]') AS d,
+        coalesce(later, false) AS e, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic FROM w LEFT JOIN m USING (doc_id)),
+cells AS (SELECT part, map {'A': a, 'B': b, 'C': c, 'D': d, 'E': e} AS fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT p.x || q.x || r.x || s.x || t.x AS filter_order FROM l p, l q, l r, l s, l t
+  WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+steps AS (SELECT filter_order, CAST(k AS INTEGER) AS step, substr(filter_order, k, 1) AS filter,
+    string_split(substr(filter_order, 1, k - 1), '') AS before, list_filter(['A', 'B', 'C', 'D', 'E'], lambda x: x <> substr(filter_order, k, 1)) AS others
+  FROM o, generate_series(1, 5) g(k)),
+met AS (SELECT part, filter_order, step, filter, n, good, toxic, fails[filter] AS failing,
+    len(list_filter(before, lambda x: x <> '' AND fails[x])) = 0 AS arrived, len(list_filter(others, lambda x: fails[x])) = 0 AS alone
+  FROM steps, cells),
+r AS (SELECT part, filter_order, step, filter,
+    CAST(coalesce(sum(n) FILTER (WHERE arrived AND NOT failing), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (WHERE arrived AND failing), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (WHERE NOT arrived AND failing), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (WHERE failing AND alone), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER (WHERE arrived AND failing), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(toxic) FILTER (WHERE arrived AND failing), 0) AS BIGINT) AS toxic_lost
+  FROM met GROUP BY part, filter_order, step, filter)
+SELECT *, CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley FROM r
+"""
+
+
+@query("op11_filter_audit", OP11_SQL)
+def op11_filter_audit(spark, folder):
+    return audit.interaction(audit.contingency(table(spark, folder, "documents"), table(spark, folder, "labels")))
+
+
+@query("op12_toxicity")
+def op12_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    scored = toxicity.score(docs, toxicity.learn(docs, table(spark, folder, "labels")), keep=["doc_id"])
+    held_out = F.coalesce(toxicity.remainder(F.col("row.doc_id")) == 0, F.lit(False))
+    return scored.select("row.doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def _merkle_sql(levels=12):
+    """The tree in SQL, a fixed number of levels up; a tree that is down to its root stays as it is."""
+
+    def tree(name, source, tops):
+        parts = [f"{name}0 AS (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {source})"]
+        for k in range(tops):
+            whole = f"SELECT tree, idx // 8 AS run, list(digest ORDER BY idx) AS nodes, max(n) AS n FROM {name}{k} GROUP BY tree, idx // 8"
+            digest = "CASE WHEN n = 1 THEN nodes[1] ELSE sha256(array_to_string(nodes, '')) END"
+            parts.append(f"{name}_run{k} AS ({whole})")
+            parts.append(f"{name}{k + 1} AS (SELECT tree, run AS idx, {digest} AS digest, CAST(ceil(n / 8) AS BIGINT) AS n FROM {name}_run{k})")
+        return parts
+
+    def up(into, source, name, tops):
+        """Fold `own` (untampered and tampered) up the runs, adding the siblings to `proof`."""
+        parts, before = [], source
+        for k in range(tops):
+            place = "CAST(s.idx % 8 AS INTEGER) + 1"
+            others = f"array_to_string(list_concat(r.nodes[1:s.idx % 8], r.nodes[s.idx % 8 + 2:]), '')"
+            changed = f"array_to_string(list_concat(list_concat(r.nodes[1:s.idx % 8], [s.own]), r.nodes[s.idx % 8 + 2:]), '')"
+            step = (
+                f"SELECT s.* REPLACE (s.idx // 8 AS idx, CASE WHEN r.n = 1 THEN s.proof ELSE s.proof || {others} END AS proof, "
+                f"CASE WHEN r.n = 1 THEN s.own ELSE sha256({changed}) END AS own) "
+                f"FROM {before} s JOIN {name}_run{k} r ON s.tree = r.tree AND s.idx // 8 = r.run"
+            )
+            before = f"{into}{k + 1}"
+            parts.append(f"{before} AS ({step})")
+        return parts, before
+
+    def code(column):
+        text = f"CAST({column} AS VARCHAR)"
+        return f"coalesce(octet_length(encode({text})) || ':' || {text}, '-')"
+
+    def leaf(text):
+        return "sha256(" + " || ".join(code(c) for c in ("doc_id", "source", "lang", "n_chars")) + f" || {code(text)})"
+
+    # crc32 of a short text, bit by bit
+    flip = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    crc = (
+        "list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))), "
+        "lambda s, b: list_reduce(list_prepend(xor(s, b), [0, 0, 0, 0, 0, 0, 0, 0]), "
+        "lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))"
+    )
+    parts = [
+        f"d AS (SELECT *, coalesce(xor(CAST({crc} AS BIGINT), 4294967295) % 3 = 0, false) AS tampered FROM documents)",
+        f"h AS (SELECT doc_id, lang, {leaf('text')} AS digest, CASE WHEN tampered THEN {leaf(flip)} END AS changed FROM d)",
+        "g AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM (SELECT DISTINCT lang FROM documents))",
+        "leaves AS (SELECT h.*, g.tree, row_number() OVER (PARTITION BY g.tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS idx "
+        "FROM h JOIN g ON h.lang IS NOT DISTINCT FROM g.lang)",
+        "low AS (SELECT tree, idx, digest FROM leaves)",
+        *tree("t", "low", levels),
+        f"subs AS (SELECT CAST(0 AS BIGINT) AS tree, tree AS idx, digest FROM t{levels})",
+        *tree("u", "subs", levels),
+        "way0 AS (SELECT doc_id, digest AS leaf, tree AS grp, tree, idx, coalesce(changed, digest) AS own, '' AS proof FROM leaves)",
+    ]
+    folds, last = up("way", "way0", "t", levels)
+    parts += [*folds, f"over0 AS (SELECT * REPLACE (CAST(0 AS BIGINT) AS tree, grp AS idx) FROM {last})"]
+    folds, last = up("over", "over0", "u", levels)
+    parts += folds
+    return (
+        "WITH " + ",\n".join(parts) + f"\nSELECT w.doc_id, w.leaf, s.digest AS subroot, r.digest AS root, sha256(w.proof) AS proof_sha256, "
+        f"w.own AS folded_root, w.own = r.digest AS verified FROM {last} w JOIN subs s ON w.grp = s.idx JOIN u{levels} r ON true"
+    )
+
+
+OP13_SQL = _merkle_sql()
+
+
+@query("op13_merkle", OP13_SQL)
+def op13_merkle(spark, folder):
+    docs = table(spark, folder, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    made = merkle.verify(docs, tampered, {"text": lowered}, ["doc_id", "source", "lang", "n_chars", "text"], "lang", ["doc_id"])
+    return made.select("row.doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
