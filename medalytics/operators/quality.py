@@ -89,6 +89,18 @@ def drop_failures(df: DataFrame, rules: list[Expectation]) -> DataFrame:
     return df.filter(reduce(lambda a, b: a & b, keep)) if keep else df
 
 
+def broken(rules: list[Expectation]) -> Column:
+    """Names of all rules that a row breaks, whatever their action, in the order of the rules."""
+    return F.array_compact(F.array(*[F.when(_failed(r), F.lit(r.name)) for r in rules]))
+
+
+def split_rejected(df: DataFrame, rules: list[Expectation], flag: str = "_rejected", names: str = "_broken") -> DataFrame:
+    """All rows with the names of the rules they break, and whether one of these drops them."""
+    drops = [r.name for r in rules if r.action == "DROP"]
+    lost = F.arrays_overlap(F.col(names), F.array(*[F.lit(n) for n in drops])) if drops else F.lit(False)
+    return df.withColumn(names, broken(rules)).withColumn(flag, lost)
+
+
 def expect(df: DataFrame, rules: list[Expectation]) -> tuple[DataFrame, DataFrame]:
     """Clean rows and the report; `enforce` the report before writing the rows."""
     return drop_failures(df, rules), expectation_report(df, rules)

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions.scratch import new_path
 from ..operators import anomaly, keys, quality, runlog, textmatch
+from ..sources import tables
+from ..streaming import layers, progress
 from ..streaming import votes as stream
 from . import fixtures as X
 from .registry import query, r6
@@ -144,31 +146,59 @@ def session_metrics(clean):
     )
 
 
-@query(
-    "votes_quality_layers",
-    """WITH c AS (SELECT *, upper(trim(notebook)) AS body, CASE WHEN step NOT LIKE 'NOTEBOOK%' THEN step END AS subject
+LAYERS_SQL = """WITH c AS (SELECT *, upper(trim(notebook)) AS body, CASE WHEN step NOT LIKE 'NOTEBOOK%' THEN step END AS subject
   FROM run_log WHERE log_id IS NOT NULL AND duration < 100 AND duration > 0)
 SELECT CAST(ts AS DATE) AS day, body, count(*) AS n_sessions, count(subject) AS with_subject,
-  count(*) FILTER (subject IS NOT NULL AND body = 'NB0') AS n_critical, count(*) FILTER (subject IS NOT NULL AND body <> 'NB0') AS n_high FROM c GROUP BY ALL""",
-    "run_log",
-)
+  count(*) FILTER (subject IS NOT NULL AND body = 'NB0') AS n_critical, count(*) FILTER (subject IS NOT NULL AND body <> 'NB0') AS n_high FROM c GROUP BY ALL"""
+
+
+def layer_totals():
+    return {
+        "n_sessions": F.count(F.lit(1)),
+        "with_subject": F.count("subject"),
+        "n_critical": F.count_if(F.col("urgency") == "CRITICA"),
+        "n_high": F.count_if(F.col("urgency") == "ALTA"),
+    }
+
+
+def silver_sessions(clean):
+    """Typed sessions with a standard body, their key and their urgency."""
+    silver = keys.standardize(sessions(clean).withColumnRenamed("notebook", "body"), ["body"])
+    urgency = F.when(F.col("subject").isNotNull(), C.by_body(F.col("body"), "NB0"))
+    return keys.surrogate_key(silver, ["log_id"], "sk").withColumn("urgency", urgency)
+
+
+@query("votes_quality_layers", LAYERS_SQL, "run_log")
 def votes_quality_layers(spark, d):
     """Bronze rules, enforced before anything is built on them, silver keys and standard codes, gold metrics with alerts."""
     clean, report = quality.expect(X.run_log(spark, d), session_rules())
     quality.enforce(report)
-    silver = keys.standardize(sessions(clean).withColumnRenamed("notebook", "body"), ["body"])
-    silver = keys.surrogate_key(keys.dedup_keep_first(silver, ["log_id"], ["ts"]), ["log_id"], "sk")
-    urgency = F.when(F.col("subject").isNotNull(), C.by_body(F.col("body"), "NB0"))
-    return (
-        silver.withColumn("urgency", urgency)
-        .groupBy(F.to_date("ts").alias("day"), "body")
-        .agg(
-            F.count(F.lit(1)).alias("n_sessions"),
-            F.count("subject").alias("with_subject"),
-            F.count_if(F.col("urgency") == "CRITICA").alias("n_critical"),
-            F.count_if(F.col("urgency") == "ALTA").alias("n_high"),
-        )
-    )
+    silver = silver_sessions(keys.dedup_keep_first(clean, ["log_id"], ["ts"]))
+    return silver.groupBy(F.to_date("ts").alias("day"), "body").agg(*[m.alias(n) for n, m in layer_totals().items()])
+
+
+@query("votes_quality_stream", LAYERS_SQL, "run_log")
+def votes_quality_stream(spark, d):
+    """The same layers as two running queries over files that land in any order of time."""
+    landed, folders = new_path(spark, "landed"), layers.Folders(new_path(spark, "layers"))
+    X.run_log(spark, d).withColumn("ts", F.col("ts").cast("timestamp")).repartition(4).write.parquet(f"{landed}/sessions.parquet")
+    rows = stream.file_stream(spark, landed, "sessions", 2)
+    layers.to_silver(rows, session_rules(), silver_sessions, layer_totals(), ["body"], folders, "log_id", "ts").awaitTermination()
+    layers.to_gold(spark, layer_totals(), ["body"], folders, "ts").awaitTermination()
+    return layers.gold(spark, folders, ["body"], layer_totals())
+
+
+@query(
+    "quarantine_rules",
+    """SELECT log_id, concat_ws(',', CASE WHEN NOT coalesce(duration < 100, false) THEN 'short' END, CASE WHEN ts < TIMESTAMP '2024-01-10' THEN 'in_range' END,
+  CASE WHEN NOT coalesce(duration > 0, false) THEN 'positive_duration' END, CASE WHEN affected IS NULL THEN 'has_subject' END,
+  CASE WHEN level = 'ERROR' THEN 'not_failed' END) AS broken, NOT coalesce(duration < 100 AND duration > 0, false) AS rejected FROM run_log""",
+    "run_log",
+)
+def quarantine_rules(spark, d):
+    """Kept and rejected rows as one pass writes them, each with all rules that it breaks."""
+    found = tables.write_split(X.run_log(spark, d), session_rules(), new_path(spark, "checked"))
+    return found.select("log_id", F.array_join("_broken", ",").alias("broken"), F.col("_rejected").alias("rejected"))
 
 
 # streams -----------------------------------------------------------------------------------------
@@ -176,12 +206,12 @@ def votes_quality_layers(spark, d):
 STREAM_TIERS = [(["ERROR"], "CRITICA"), (["CLICK"], "ALTA")]
 
 
-def run_stream(spark, d):
+def run_stream(spark, d, name=None):
     """All event files through the stream until nothing is left; the folders of rows, alerts and batches."""
     out, alerts, sla, checkpoint = (new_path(spark, t) for t in ("rows", "alerts", "sla", "offsets"))
     rows = stream.new_rows(stream.file_stream(spark, d, "events", 1000), "event_id", "ts")
     rows = textmatch.urgency(rows, "event_type", STREAM_TIERS)
-    running = stream.write_with_alerts(rows, out, alerts, sla, checkpoint)
+    running = stream.write_with_alerts(rows, out, alerts, sla, checkpoint, key="event_id", name=name)
     running.awaitTermination()
     return out, alerts, sla
 
@@ -211,6 +241,25 @@ def stream_sla(spark, d):
     return spark.read.parquet(run_stream(spark, d)[2]).agg(*sums, F.array_join(F.collect_set("status"), ",").alias("status"), timed.alias("is_timed"))
 
 
+@query(
+    "stream_progress",
+    """SELECT 'events' AS query, count(*) AS input_rows, CAST(0 AS BIGINT) AS late_rows_dropped, count(DISTINCT event_id) AS most_state_rows, true AS is_timed
+FROM events""",
+)
+def stream_progress(spark, d):
+    """What the engine reports of the stream, summed over its batches."""
+    listener = progress.ProgressTable(spark, new_path(spark, "progress"), ["events"])
+    spark.streams.addListener(listener)
+    try:
+        run_stream(spark, d, "events")
+        found = listener.read()
+    finally:
+        spark.streams.removeListener(listener)
+    timed = F.every(F.col("trigger_ms").isNotNull() & F.col("triggered_at").isNotNull())
+    sums = [F.sum(c).alias(c) for c in ("input_rows", "late_rows_dropped")]
+    return found.groupBy("query").agg(*sums, F.max("state_rows").alias("most_state_rows"), timed.alias("is_timed"))
+
+
 @query(
     "sla_breaches",
     "SELECT log_id, duration AS latency_seconds, CASE WHEN level = 'ERROR' THEN 1 ELSE 0 END AS n_errors FROM run_log WHERE duration > 60 OR level = 'ERROR'",

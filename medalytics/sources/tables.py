@@ -11,6 +11,7 @@ from ..functions.scratch import new_path
 from ..operators.incremental import CONTROL_SCHEMA
 from ..operators.ingest import with_audit
 from ..operators.merge import reject_repeated, upsert
+from ..operators.quality import Expectation, split_rejected
 from ..operators.runlog import LOG_SCHEMA, log_rows
 
 
@@ -63,6 +64,32 @@ def write_bronze(df: DataFrame, path: str, source: str, mode: str = "overwrite",
     return write_table(with_audit(df, source, batch_id), path, mode, partition_by)
 
 
+def write_split(df: DataFrame, rules: list[Expectation], path: str, load: str = "first") -> DataFrame:
+    """Write kept and rejected rows in one pass, each with the names of all rules it breaks; all rows of the table.
+
+    Every load owns its partition, so a repeated load replaces itself. See `quarantined` and `replay_rejected`.
+    """
+    checked = split_rejected(df, rules).withColumn("_load", F.lit(load))
+    write_table(checked, path, "overwrite", ["_load", "_rejected"])
+    return df.sparkSession.read.schema(checked.schema).parquet(path)
+
+
+def quarantined(spark: SparkSession, path: str, load: str) -> DataFrame:
+    """The rejected rows of a load."""
+    return spark.read.parquet(path).filter((F.col("_load") == load) & F.col("_rejected"))
+
+
+def replay_rejected(
+    spark: SparkSession, path: str, load: str, fix: Callable[[DataFrame], DataFrame], rules: list[Expectation], into: str
+) -> DataFrame:
+    """Check the rejected rows of a load again after `fix`, as the load `into`; what is rejected now is the quarantine of `into`.
+
+    The old quarantine stays as it was, so a replay can be repeated.
+    """
+    held = quarantined(spark, path, load).drop("_load", "_rejected", "_broken")
+    return write_split(fix(held), rules, path, into)
+
+
 def append_log(spark: SparkSession, path: str, lines: list[dict]) -> int:
     """Append the log lines of one run; missing fields are null, status follows from the level."""
     full = [{f.name: line.get(f.name) for f in LOG_SCHEMA.fields} for line in lines]

@@ -2,12 +2,14 @@
 
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import fixed_values as V
+from ..sources import tables
 
 SLA_SCHEMA = T.StructType(
     [
@@ -20,6 +22,9 @@ SLA_SCHEMA = T.StructType(
     ]
 )
 
+#: When a row arrived by the clock of the engine; the state of seen ids is kept by it.
+ARRIVED = "_arrived"
+
 
 def file_stream(spark: SparkSession, root: str, table: str, files_per_batch: int | None = None) -> DataFrame:
     """Stream over `root/table.parquet`, whether that is a directory of files or one file."""
@@ -34,13 +39,41 @@ def file_stream(spark: SparkSession, root: str, table: str, files_per_batch: int
     return reader.parquet(path)
 
 
-def new_rows(stream: DataFrame, key: str, ts: str) -> DataFrame:
-    """Each id once, however late it comes: the checkpoint is the offset, ids seen before are dropped.
+def new_rows(stream: DataFrame, key: str, ts: str, within: str = "1 day") -> DataFrame:
+    """Each id once among those that arrive within `within` of each other; the checkpoint is the offset.
+
+    The watermark runs over the time of arrival, not over `ts`, so no row is dropped for its age and the state
+    holds the ids of about twice `within` only. What is delivered again later is found by `unseen` in the
+    written table. Rows without an id are dropped.
+    """
+    typed = stream.filter(F.col(key).isNotNull()).withColumn(ts, F.col(ts).cast("timestamp"))
+    return typed.withColumn(ARRIVED, F.current_timestamp()).withWatermark(ARRIVED, within).dropDuplicatesWithinWatermark([key])
+
+
+def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at `path`, or None if nothing was written there yet."""
+    files, target = tables._files(spark, path)
+    if not files.exists(target):
+        return None
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:  # the folder is empty
+        return None
+
+
+def unseen(batch: DataFrame, written: str, key: str, number: int) -> DataFrame:
+    """Rows of a batch whose id no other batch has written; the batch's own earlier attempt does not count.
 
-    No row is dropped for its time. The state is one entry per id, spread by id over the tasks and kept
-    on disk by the RocksDB provider, so it grows with the ids and not in memory.
+    Of the written table only ids between the least and the greatest of the batch are read, which the file
+    statistics prune where ids grow with time; the ids found among them are few and taken out of the batch.
     """
-    return stream.withColumn(ts, F.col(ts).cast("timestamp")).dropDuplicates([key])
+    known = read_or_none(batch.sparkSession, written)
+    if known is None:
+        return batch
+    ends = batch.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
+    near = known.filter((F.col("_batch") != number) & F.col(key).between(ends["low"], ends["high"])).select(key)
+    again = near.join(batch.select(key), key, "left_semi").distinct()
+    return batch.join(again, key, "left_anti").select(*batch.columns)
 
 
 def _replace(df: DataFrame, folder: str, batch: int) -> tuple[DataFrame, int]:
@@ -53,12 +86,13 @@ def _replace(df: DataFrame, folder: str, batch: int) -> tuple[DataFrame, int]:
 
 def write_with_alerts(
     rows: DataFrame, out: str, alerts: str, sla: str, checkpoint: str, level: str = "urgency", alert_levels=V.ALERT_LEVELS,
-    every: str | None = None,
+    every: str | None = None, key: str | None = None, name: str | None = None,
 ) -> StreamingQuery:
     """Start a query that writes rows, alert rows and one service-level row per batch with rows.
 
     Without `every` it takes what there is and stops. Every batch owns its partition in the three
-    tables, so a batch that is run again after a failure leaves no duplicates.
+    tables, so a batch that is run again after a failure leaves no duplicates. With `key`, ids that an
+    earlier batch has written are left out, however long ago that was.
     """
 
     def sink(batch: DataFrame, number: int) -> None:
@@ -67,19 +101,26 @@ def write_with_alerts(
         n_rows = n_alerts = 0
         status = "SUCCESS"
         try:
-            written, n_rows = _replace(batch, out, number)
+            if key:
+                batch = batch.persist()
+                fresh = unseen(batch, out, key, number)
+            else:
+                fresh = batch
+            written, n_rows = _replace(fresh.drop(ARRIVED), out, number)
             if n_rows:
                 _, n_alerts = _replace(written.filter(F.col(level).isin(alert_levels)), alerts, number)
         except Exception:
             status = "FAILED"
             raise
         finally:
+            batch.unpersist()
             seconds = (datetime.now(timezone.utc) - started).total_seconds()
             line = (started, seconds, n_rows, n_alerts, int(status != "SUCCESS"), status)
             if n_rows or status != "SUCCESS":
                 _replace(spark.createDataFrame([line], SLA_SCHEMA), sla, number)
 
     writer = rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    writer = writer.queryName(name) if name else writer
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 

@@ -1,5 +1,7 @@
 """The stream gives the batch's rows; restarts and repeated batches add nothing."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,9 +21,11 @@ def land(spark, path, ids):
     rows.withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.mode("append").parquet(path)
 
 
-def run(spark, root, folders):
-    rows = stream.new_rows(stream.file_stream(spark, root, "votes"), "id", "ts")
-    stream.write_with_alerts(textmatch.urgency(rows, "t"), **folders).awaitTermination()
+def run(spark, root, folders, within="1 day"):
+    rows = stream.new_rows(stream.file_stream(spark, root, "votes"), "id", "ts", within)
+    query = stream.write_with_alerts(textmatch.urgency(rows, "t"), **folders, key="id")
+    query.awaitTermination()
+    return query
 
 
 def ids(spark, path):
@@ -53,6 +57,33 @@ def test_a_row_that_comes_very_late_is_kept(spark, tmp_path, folders):
     assert ids(spark, folders["out"]) == [102, 111, *range(1001, 1011)]
 
 
+def test_the_state_is_bounded_and_old_ids_are_looked_up(spark, tmp_path, folders):
+    root = str(tmp_path / "landing")
+    state = []
+    for n in range(8):
+        land(spark, f"{root}/votes.parquet", [*range(10 * n, 10 * n + 10), 0, 10 * n // 2])  # old ids again and again
+        state.append(run(spark, root, folders, "1 second").lastProgress["stateOperators"][0]["numRowsTotal"])
+        time.sleep(1)
+    assert ids(spark, folders["out"]) == list(range(80))
+    assert max(state[3:]) <= 36, state  # three batches of up to 12 ids, however many there have been
+
+
+def test_rows_without_an_id_are_left_out(spark, tmp_path, folders):
+    root = str(tmp_path / "landing")
+    land(spark, f"{root}/votes.parquet", [1])
+    spark.createDataFrame([(None, None, "x")], "id long, ts timestamp, t string").write.mode("append").parquet(f"{root}/votes.parquet")
+    run(spark, root, folders)
+    assert ids(spark, folders["out"]) == [1]
+
+
+def test_a_batch_run_again_does_not_see_itself(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    rows = spark.range(5).withColumnRenamed("id", "k")
+    assert stream.unseen(rows, folder, "k", 0).count() == 5
+    stream._replace(rows, folder, 0)
+    assert stream.unseen(rows, folder, "k", 0).count() == 5 and stream.unseen(rows, folder, "k", 1).count() == 0
+
+
 def test_a_batch_run_again_replaces_itself(spark, tmp_path):
     folder = str(tmp_path / "t")
     for _ in range(2):
