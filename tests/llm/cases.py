@@ -36,3 +36,17 @@ def groups(ids, linked):
                 x, y = find(a), find(b)
                 parent[max(x, y)] = min(x, y)
     return {i: find(i) for i in ids}
+
+
+def brute_set(text, n=5):
+    """The different shingles of n words, A-Z lower-cased; fewer words are one shingle."""
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    for c in "\t\n\x0b\x0c\r":
+        low = low.replace(c, " ")
+    words = [w for w in low.split(" ") if w]
+    return frozenset(tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))) if words else frozenset()
+
+
+def alike(a, b):
+    """Equal, or of Jaccard similarity 0.8 or more."""
+    return a == b or bool(a and b) and len(a & b) / len(a | b) >= 0.8

@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 import cases
 import corpus_pipeline
 import oracle
-from medalytics.llm import catalog, simhash
+from medalytics.llm import catalog
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -18,7 +18,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(n.split("_")[0] for n in catalog.QUERIES) == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(n.split("_")[0] for n in catalog.QUERIES) == sorted(f"op{i}" for i in range(1, 14))
     assert "pipeline" in entry.queries()
 
 
@@ -30,8 +30,8 @@ def test_pipeline(spark):
     lined = stages["line dedup"](spark, known, FOLDER)
     assert lined.columns == docs.columns and lined.filter(F.length("text") != F.col("n_chars")).count() == 0
     single = stages["SimHash near-dedup"](spark, lined, FOLDER)
-    rows = {r.doc_id: simhash.fingerprint((r.text or "").encode()) for r in lined.collect()}
-    part = cases.groups(sorted(rows), lambda a, b: (rows[a] ^ rows[b]).bit_count() <= 2)
+    rows = {r.doc_id: cases.brute_set(r.text) for r in lined.collect()}
+    part = cases.groups(sorted(rows), lambda a, b: cases.alike(rows[a], rows[b]))
     assert sorted(r.doc_id for r in single.collect()) == sorted(set(part.values()))
     mixed = stages["mixing sources"](spark, single, FOLDER)
     assert mixed.columns == docs.columns

@@ -8,23 +8,12 @@ from pyspark.sql import functions as F
 
 import cases
 import corpus_pipeline
+from cases import alike, brute_set
 from medalytics.llm import components, shingles, simhash
 
 FOLDER = "/root/testdata/sf0.001"
 
 
-def brute_set(text, n=5):
-    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
-    for c in "\t\n\x0b\x0c\r":
-        low = low.replace(c, " ")
-    words = [w for w in low.split(" ") if w]
-    return frozenset(tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))) if words else frozenset()
-
-
-def alike(a, b):
-    return a == b or bool(a and b) and len(a & b) / len(a | b) >= 0.8
-
-
 def edited_copies():
     """Texts of 20 to 400 words, and copies with up to 3 % of the words replaced, so that similarities lie on both sides of 0.8."""
     random.seed(11)
