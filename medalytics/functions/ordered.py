@@ -52,24 +52,74 @@ def percent_rank(df: DataFrame, column: str, out: str) -> DataFrame:
     return join_lookup(df, Stored(ranks, placed.rows, placed.bytes), [column])
 
 
-def running_total_by(df: DataFrame, by: list[str], order: str, chunk, sums: dict) -> DataFrame:
-    """Add running sums per group in `order`, the row itself included.
+def range_sorted(df: DataFrame, by: list[str], order: list[str], parts: int | None = None) -> DataFrame:
+    """Rows ranged by (by, order) and written with the number of their range, `__part`; a key takes as many ranges as it needs.
 
-    `chunk` never decreases along `order`; a large group is summed chunk by chunk in many tasks and
-    only one row per chunk is summed across chunks.
+    Null keys are one key. Rows that tie in `by` and `order` lie in one range, so `order` should tell rows apart.
     """
-    rows = df.withColumn("__chunk", chunk).withColumns({f"__v_{name}": value for name, value in sums.items()})
-    before = Window.partitionBy(*by).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    chunks = rows.groupBy(*by, "__chunk").agg(*[F.sum(f"__v_{name}").alias(f"__s_{name}") for name in sums])
-    offsets = chunks.select(
-        *by,
-        "__chunk",
-        *[F.coalesce(F.sum(f"__s_{name}").over(before), F.lit(0)).alias(f"__b_{name}") for name in sums],
-    )
-    inside = Window.partitionBy(*by, "__chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    local = rows.withColumns({f"__v_{name}": F.sum(f"__v_{name}").over(inside) for name in sums})
-    return (
-        local.join(offsets, [*by, "__chunk"])
-        .withColumns({name: F.col(f"__v_{name}") + F.col(f"__b_{name}") for name in sums})
-        .drop("__chunk", *[f"__{p}_{name}" for name in sums for p in "vb"])
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return store(df.repartitionByRange(parts, *by, *order).withColumn("__part", F.spark_partition_id()), "ranged").df
+
+
+def _scanned(rows, by, order, names, within, of_last_key, across):
+    """A segmented scan of the columns `names` of ranged rows: (rows, what the scan of the range gives, what comes from before it).
+
+    Each range is scanned alone by the window function `within`. It offers the aggregate `of_last_key` of its
+    last key, and asks at its first key for the offers before it, which the window function `across` puts
+    together: two lines per range. So no key and no period is one task.
+    """
+    inside = Window.partitionBy("__part", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = rows.withColumns({f"__in_{n}": within(n).over(inside) for n in names})
+    key = F.struct(*by)
+    ends = rows.groupBy("__part").agg(F.min(key).alias("__first"), F.max(key).alias("__key"))
+    mine = rows.join(F.broadcast(ends.select("__part", "__key")), "__part").filter(key.eqNullSafe(F.col("__key")))
+    offers = mine.groupBy("__part", "__key").agg(*[of_last_key(n).alias(n) for n in names])
+    nothing = [F.lit(None).cast(rows.schema[n].dataType).alias(n) for n in names]
+    lines = ends.select(F.col("__first").alias("__key"), "__part", F.lit(0).alias("__side"), *nothing)
+    lines = lines.unionByName(offers.withColumn("__side", F.lit(1)))
+    before = Window.partitionBy("__key").orderBy("__part", "__side").rowsBetween(Window.unboundedPreceding, -1)
+    carried = lines.select(
+        F.col("__part").alias("__at"), F.col("__key").alias("__first"), "__side", *[across(n).over(before).alias(f"__before_{n}") for n in names]
     )
+    # one line per range is broadcast
+    carried = F.broadcast(carried.filter("__side = 0").drop("__side"))
+    return local.join(carried, (F.col("__part") == F.col("__at")) & key.eqNullSafe(F.col("__first")), "left")
+
+
+def carry_forward(df: DataFrame, by: list[str], order: list[str], values: dict, parts: int | None = None) -> DataFrame:
+    """Add for every value (name: column) the last that was not null in the row's key up to and with the row, in `order`."""
+    rows = range_sorted(df.withColumns({f"__v_{n}": v for n, v in values.items()}), by, order, parts)
+
+    def newest(n):
+        return F.max_by(n, F.when(F.col(n).isNotNull(), F.struct(*order)))
+
+    def last(n):
+        return F.last(n, ignorenulls=True)
+
+    met = _scanned(rows, by, order, [f"__v_{n}" for n in values], last, newest, last)
+    return met.select(*df.columns, *[F.coalesce(f"__in___v_{n}", f"__before___v_{n}").alias(n) for n in values])
+
+
+def running_total_by(df: DataFrame, by: list[str], order: list[str], sums: dict, parts: int | None = None) -> DataFrame:
+    """Add running sums (name: column) per key in `order`, the row itself included."""
+    rows = range_sorted(df.withColumns({f"__v_{n}": v for n, v in sums.items()}), by, order, parts)
+    met = _scanned(rows, by, order, [f"__v_{n}" for n in sums], F.sum, F.sum, F.sum)
+    return met.select(*df.columns, *[(F.col(f"__in___v_{n}") + F.coalesce(f"__before___v_{n}", F.lit(0))).alias(n) for n in sums])
+
+
+def following(df: DataFrame, by: list[str], order: list[str], values: dict, parts: int | None = None) -> DataFrame:
+    """Add for every value (name: column) that of the next row of the key in `order`, and `__more`, whether there is one.
+
+    Each range is scanned alone; its last row looks at the first row of the next range, one line per range.
+    """
+    rows = range_sorted(df.withColumns({f"__v_{n}": v for n, v in values.items()}), by, order, parts)
+    held = F.struct(F.struct(*by).alias("key"), F.struct(*[f"__v_{n}" for n in values]).alias("values"))
+    heads = rows.groupBy("__part").agg(F.min_by(held, F.struct(*by, *order)).alias("__head"))
+    # one line per range, so this window sees at most `parts` of them
+    nexts = heads.select(F.col("__part").alias("__at"), F.lead("__head").over(Window.orderBy("__part")).alias("__next"))
+    near = F.lead(held).over(Window.partitionBy("__part").orderBy(*by, *order))
+    met = rows.withColumn("__near", near).join(F.broadcast(nexts), F.col("__part") == F.col("__at"))
+    met = met.withColumn("__row", F.coalesce("__near", "__next"))
+    more = F.coalesce(F.col("__row.key").eqNullSafe(F.struct(*by)) & F.col("__row").isNotNull(), F.lit(False))
+    met = met.withColumn("__more", more)
+    return met.select(*df.columns, *[F.when(F.col("__more"), F.col(f"__row.values.__v_{n}")).alias(n) for n in values], "__more")

@@ -8,7 +8,6 @@ from ..functions import columns as C
 from ..functions import fixed_values as V
 from ..functions.ordered import running_total, running_total_by
 from ..functions.skew import join_lookup
-from .scd import number_chunk
 
 NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
 
@@ -55,17 +54,16 @@ def error_histogram(requests: DataFrame, kind: Column, ok: Column, alert: float
 
 
 def failure_runs(
-    requests: DataFrame, by: list[str], order: str, failed: Column, limit: int = V.FAILURE_LIMIT, chunk: Column | None = None
+    requests: DataFrame, by: list[str], order: str, failed: Column, limit: int = V.FAILURE_LIMIT, parts: int | None = None
 ) -> DataFrame:
     """Longest run of consecutive failures per endpoint, and where a run first reaches `limit`.
 
-    A run is named by the number of successes before it. Both running counts are taken chunk by
-    chunk, so an endpoint with most of the requests is still counted by many tasks.
+    A run is named by the number of successes before it. Both running counts are segmented over ranges of
+    the whole order, so an endpoint with most of the requests is still counted by many tasks.
     """
-    chunk = number_chunk(order) if chunk is None else chunk
     bad = F.coalesce(failed, F.lit(False)).cast("int")
     marked = running_total_by(
-        requests.select(*by, order, bad.alias("__bad")), by, order, chunk, {"__oks": 1 - F.col("__bad"), "__fails": F.col("__bad")}
+        requests.select(*by, order, bad.alias("__bad")), by, [order], {"__oks": 1 - F.col("__bad"), "__fails": F.col("__bad")}, parts
     )
     fails = marked.filter("__bad = 1")
     spans = fails.groupBy(*by, "__oks").agg(F.count(F.lit(1)).alias("__len"), F.min("__fails").alias("__first"))

@@ -1,44 +1,24 @@
 """Slowly changing history: build, refresh, point-in-time lookup, durations.
 
-History is split by `chunk`, a column that never decreases along the order of a key, so that the
-history of one very active key is worked on by many tasks. Only one row per key and chunk crosses
-from one chunk to the next.
+Versions are ordered by (key, order) over the whole table, in ranges, so that the history of one very active key is
+worked on by many tasks whatever its share of the rows; one line per range crosses from one to the next.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK = 1_000_000
+from ..functions.ordered import carry_forward, following
 
 
-def number_chunk(order: str, size: int = CHUNK) -> Column:
-    """Chunk of `size` consecutive order numbers; a missing number comes first."""
-    return F.coalesce(F.expr(f"`{order}` div {size}"), F.lit(-(2**63)))
-
-
-def build(df: DataFrame, key: str, order: str, ts: str, chunk: Column | None = None) -> DataFrame:
+def build(df: DataFrame, key: str, order: str, ts: str, parts: int | None = None) -> DataFrame:
     """Add valid_from, valid_to (the start of the next version, null if none) and is_current.
 
     Rows without a key or without a time (it did not parse) are no versions; see `unplaced`. The current
-    version is the last in the order.
-    By default a chunk holds CHUNK consecutive order numbers; a given chunk must not be null.
+    version is the last in the order; ties in it go by time.
     """
-    chunk = number_chunk(order) if chunk is None else chunk
-    rows = df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).withColumn("__chunk", chunk)
-    heads = rows.groupBy(key, "__chunk").agg(F.min(F.struct(F.col(order), F.col(ts))).alias("__head"))
-    follow = F.lead("__head").over(Window.partitionBy(key).orderBy("__chunk"))
-    nexts = heads.select(key, "__chunk", follow[ts].alias("__next_chunk_ts"), follow.isNull().alias("__last_chunk"))
-    inside = Window.partitionBy(key, "__chunk").orderBy(order, ts)
-    is_last = F.lead(F.lit(True)).over(inside).isNull()
-    return (
-        rows.withColumn("__inside", F.lead(ts).over(inside))
-        .withColumn("__last", is_last)
-        .join(nexts, [key, "__chunk"])
-        .withColumn("valid_from", F.col(ts))
-        .withColumn("valid_to", F.when(F.col("__last"), F.col("__next_chunk_ts")).otherwise(F.col("__inside")))
-        .withColumn("is_current", F.col("__last") & F.col("__last_chunk"))
-        .drop("__chunk", "__inside", "__last", "__next_chunk_ts", "__last_chunk")
-    )
+    rows = df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    found = following(rows, [key], [order, ts], {"valid_to": F.col(ts)}, parts)
+    return found.select(*df.columns, F.col(ts).alias("valid_from"), "valid_to", (~F.col("__more")).alias("is_current"))
 
 
 def unplaced(df: DataFrame, key: str, ts: str) -> DataFrame:
@@ -46,14 +26,14 @@ def unplaced(df: DataFrame, key: str, ts: str) -> DataFrame:
     return df.filter(F.col(key).isNull() | F.col(ts).isNull())
 
 
-def refresh(history: DataFrame, increment: DataFrame, key: str, order: str, ts: str, chunk: Column | None = None) -> DataFrame:
+def refresh(history: DataFrame, increment: DataFrame, key: str, order: str, ts: str, parts: int | None = None) -> DataFrame:
     """History after an increment: only the keys that occur in it are rebuilt.
 
     A (key, order) that is in both keeps the increment's row.
     """
     touched = increment.select(key).distinct()
     old = history.join(touched, key, "left_semi").join(increment.select(key, order), [key, order], "left_anti")
-    rebuilt = build(old.select(*increment.columns).unionByName(increment), key, order, ts, chunk)
+    rebuilt = build(old.select(*increment.columns).unionByName(increment), key, order, ts, parts)
     return history.join(touched, key, "left_anti").select(*rebuilt.columns).unionByName(rebuilt)
 
 
@@ -63,56 +43,39 @@ def as_of(history: DataFrame, moment) -> DataFrame:
     return history.filter((F.col("valid_from") <= at) & ((F.col("valid_to") > at) | F.col("is_current")))
 
 
-def as_of_join(
-    df: DataFrame, history: DataFrame, key: str, at: str, order: str, cols: list[str], period: str = "day"
-) -> DataFrame:
+def as_of_join(df: DataFrame, history: DataFrame, key: str, at: str, order: str, cols: list[str], parts: int | None = None) -> DataFrame:
     """Add to every row of `df` the `cols` of the version of its key that is valid at `at`, null if none.
 
     `history` comes from `build` with times that do not decrease along `order`; a version that ends before
-    it begins raises an error, one without a start is never valid. Rows and versions are
-    merged in time order per key and period, and the last version before a period is carried into it,
-    so the work is linear and a busy key is split by period.
+    it begins raises an error, one without a start is never valid. Rows and versions are merged in time
+    order and the last version is carried forward over all ranges of that order, so the work is linear and
+    neither a busy key nor a busy moment of it is one task.
     """
     kind = history.schema["valid_from"].dataType
-    version = F.struct(F.col("valid_from"), F.col(order).alias("__order"), *[F.col(c) for c in cols])
     backwards = F.raise_error(F.lit("the times of the history decrease along its order"))
     checked = F.when(F.col("valid_to") < F.col("valid_from"), backwards).otherwise(F.col("valid_from"))
-    versions = history.filter(F.col("valid_from").isNotNull()).withColumn("valid_from", checked).select(
-        key,
-        F.date_trunc(period, "valid_from").alias("__period"),
-        F.col("valid_from").alias("__at"),
+    versions = history.filter(F.col("valid_from").isNotNull()).select(
+        F.col(key).alias("__of"),
+        checked.alias("__moment"),
         F.lit(0).alias("__side"),
         F.col(order).cast("bigint").alias("__seq"),
-        version.alias("__version"),
+        F.struct(*[F.col(c) for c in cols]).alias("__version"),
         F.lit(None).alias("__row"),
     )
     probes = df.select(
-        key,
-        F.date_trunc(period, F.col(at).cast(kind)).alias("__period"),
-        F.col(at).cast(kind).alias("__at"),
+        F.col(key).alias("__of"),
+        F.col(at).cast(kind).alias("__moment"),
         F.lit(1).alias("__side"),
-        F.lit(0).cast("bigint").alias("__seq"),
+        # a place among the rows of one moment, so that they too are spread over ranges
+        F.monotonically_increasing_id().alias("__seq"),
         F.lit(None).alias("__version"),
         F.struct(*[F.col(c) for c in df.columns]).alias("__row"),
     )
     merged = versions.unionByName(probes)
-    last = merged.groupBy(key, "__period").agg(
-        F.max_by("__version", F.when(F.col("__side") == 0, F.struct("__at", "__seq"))).alias("__end")
-    )
-    earlier = Window.partitionBy(key).orderBy("__period").rowsBetween(Window.unboundedPreceding, -1)
-    carried = last.select(
-        key, "__period", F.last("__end", ignorenulls=True).over(earlier).alias("__carried")
-    )
-    sofar = (
-        Window.partitionBy(key, "__period").orderBy("__at", "__side", "__seq").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    filled = merged.withColumn("__here", F.last("__version", ignorenulls=True).over(sofar)).filter("__side = 1")
-    # same keys as the window, so the merged rows are not shuffled again
-    joined = filled.join(carried, [key, "__period"], "left")
-    found = F.coalesce("__here", "__carried")
-    return joined.withColumn("__found", F.when(F.col("__at").isNotNull(), found)).select(
-        "__row.*", *[F.col(f"__found.{c}").alias(c) for c in cols]
-    )
+    scanned = carry_forward(merged, ["__of"], ["__moment", "__side", "__seq"], {"__found": F.col("__version")}, parts).filter("__side = 1")
+    valid = F.col("__moment").isNotNull() & F.col("__of").isNotNull()
+    found = scanned.withColumn("__found", F.when(valid, F.col("__found")))
+    return found.select("__row.*", *[F.col(f"__found.{c}").alias(c) for c in cols])
 
 
 def current_alerts(history: DataFrame, body: str, state: str, body_is: str, state_has: str) -> DataFrame:

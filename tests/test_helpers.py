@@ -60,14 +60,61 @@ def test_percent_rank_equals_the_single_window(spark, n):
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("size", [1, 7, 10_000])
-def test_running_total_by_equals_the_single_window(spark, size):
+@pytest.mark.parametrize("parts", [1, 7, 40])
+def test_running_total_by_equals_the_single_window(spark, parts):
     df = spark.range(300).select((F.col("id") % 2).alias("g"), F.col("id").alias("o"), (F.col("id") % 5).alias("v"))
-    got = ordered.running_total_by(df, ["g"], "o", F.expr(f"o div {size}"), {"t": F.col("v")})
+    got = ordered.running_total_by(df, ["g"], ["o"], {"t": F.col("v")}, parts)
     want = df.withColumn("t", F.sum("v").over(Window.partitionBy("g").orderBy("o")))
     assert rows(got.select("g", "o", "t")) == rows(want.select("g", "o", "t"))
 
 
+def nullable(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def keyed(spark, n=600):
+    """A third of the rows have one key; some keys and values are null."""
+    rng = random.Random(n)
+    data = [(0 if i % 3 == 0 else rng.choice([None, *range(1, 30)]), rng.randrange(50), i, rng.choice([None, None, None, i])) for i in range(n)]
+    return spark.createDataFrame(data, "g int, o int, i long, v long")
+
+
+@pytest.mark.parametrize("parts", [1, 5, 64])
+def test_carry_forward_equals_the_single_window(spark, parts):
+    df = keyed(spark)
+    got = ordered.carry_forward(df, ["g"], ["o", "i"], {"c": F.col("v"), "d": F.col("v") % 7}, parts)
+    whole = Window.partitionBy("g").orderBy("o", "i").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumn("c", F.last("v", True).over(whole)).withColumn("d", F.last(F.col("v") % 7, True).over(whole))
+    assert nullable(got) == nullable(want)
+
+
+@pytest.mark.parametrize("parts", [1, 5, 64])
+def test_following_equals_the_single_window(spark, parts):
+    df = keyed(spark)
+    got = ordered.following(df, ["g"], ["o", "i"], {"n": F.col("v")}, parts)
+    whole = Window.partitionBy("g").orderBy("o", "i")
+    want = df.withColumn("n", F.lead("v").over(whole)).withColumn("__more", F.lead(F.lit(True)).over(whole).isNotNull())
+    assert nullable(got) == nullable(want)
+
+
+def test_scans_of_nothing_and_of_one_key(spark):
+    df = keyed(spark)
+    for some in (df.limit(0), df.filter("g = 0")):
+        assert ordered.carry_forward(some, ["g"], ["o", "i"], {"c": F.lit(1)}, 9).filter("c = 1").count() == some.count()
+        assert ordered.following(some, ["g"], ["o", "i"], {"c": F.lit(1)}, 9).filter("NOT __more").count() == min(1, some.count())
+        assert ordered.running_total_by(some, ["g"], ["o", "i"], {"c": F.lit(1)}, 9).agg(F.max("c")).first()[0] == (some.count() or None)
+
+
+def test_no_scan_has_a_window_per_key(spark):
+    df = keyed(spark)
+    for got in (ordered.carry_forward(df, ["g"], ["o", "i"], {"c": F.col("v")}, 5), ordered.following(df, ["g"], ["o", "i"], {"c": F.col("v")}, 5)):
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        for line in (x for x in plan.splitlines() if "Window [" in x):
+            assert "__part" in line or "__at" in line, line
+        most = df.repartitionByRange(5, "g", "o", "i").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert most < 200  # the key with a third of the rows lies in several ranges
+
+
 def test_store_knows_rows_and_size(spark):
     stored = scratch.store(spark.createDataFrame([("a" * 100, 1), (None, 2)], "s string, n int"))
     assert stored.rows == 2 and 100 < stored.bytes < 400

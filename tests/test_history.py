@@ -26,10 +26,10 @@ def random_history(rng, n=400):
     return out
 
 
-@pytest.mark.parametrize("size", [1, 10, 100, 10_000])
-def test_build_is_independent_of_the_chunk(spark, size):
+@pytest.mark.parametrize("parts", [1, 4, 40, 500])
+def test_build_is_independent_of_the_ranges(spark, parts):
     data = random_history(random.Random(1))
-    got = scd.build(steps(spark, data), "k", "seq", "ts", F.expr(f"seq div {size}")).collect()
+    got = scd.build(steps(spark, data), "k", "seq", "ts", parts).collect()
     assert len(got) == len(data)
     by = {}
     for r in got:
@@ -63,15 +63,15 @@ def test_refresh_equals_full_build(spark):
     assert sorted(map(tuple, got.select(want.columns).collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
 
 
-@pytest.mark.parametrize("period", ["day", "year"])
-def test_as_of_join_by_brute_force(spark, period):
+@pytest.mark.parametrize("parts", [1, 50])
+def test_as_of_join_by_brute_force(spark, parts):
     data = random_history(random.Random(4))
     history = scd.build(steps(spark, data), "k", "seq", "ts")
     rng = random.Random(5)
     probes = [(i, rng.randrange(0, 11), f"2024-{rng.randrange(1, 13):02}-{rng.randrange(1, 29):02} 0{rng.randrange(0, 2)}:00:00") for i in range(200)]
     probes += [(900, None, "2024-05-05 00:00:00"), (901, 1, None), (902, 1, "2020-01-01 00:00:00")]
     df = spark.createDataFrame(probes, "p int, k int, at string").withColumn("at", F.to_timestamp("at"))
-    got = {r["p"]: r["state"] for r in scd.as_of_join(df, history, "k", "at", "seq", ["state"], period).collect()}
+    got = {r["p"]: r["state"] for r in scd.as_of_join(df, history, "k", "at", "seq", ["state"], parts).collect()}
     versions = history.collect()
     want = {}
     for p in df.collect():
@@ -81,6 +81,20 @@ def test_as_of_join_by_brute_force(spark, period):
     assert got == want
 
 
+def test_as_of_join_of_a_busy_key_and_day(spark):
+    """A third of the rows and versions have one key and one day; they take several ranges."""
+    moment = lambda i: f"2024-01-02 {i // 3600:02d}:{i // 60 % 60:02d}:{i % 60:02d}"
+    data = [(0, i, moment(10 * i), f"s{i}") for i in range(400)] + [(1 + i % 7, i, f"2024-02-{1 + i // 40:02d}", f"t{i}") for i in range(800)]
+    history = scd.build(steps(spark, data), "k", "seq", "ts", 6)
+    probes = spark.createDataFrame([(i, 0 if i % 3 == 0 else 1 + i % 7, moment(4 * i)) for i in range(1200)], "p int, k int, at string")
+    probes = probes.withColumn("at", F.to_timestamp("at"))
+    found = scd.as_of_join(probes, history, "k", "at", "seq", ["state"], 6)
+    got = {r.p: r.state for r in found.collect()}
+    assert got == {i: (f"s{min(4 * i // 10, 399)}" if i % 3 == 0 else None) for i in range(1200)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert all("__part" in line or "__at" in line for line in plan.splitlines() if "Window [" in line)
+
+
 def test_as_of_literal(spark):
     history = scd.build(steps(spark, [(1, 1, "2024-01-01", "a"), (1, 2, "2024-06-15", "b")]), "k", "seq", "ts")
     assert [r["state"] for r in scd.as_of(history, "2024-06-14").collect()] == ["a"]
