@@ -355,8 +355,12 @@ def _merged(lo, hi):
 
 
 def report(removed: DataFrame) -> DataFrame:
-    """Per document: bytes, removed bytes, spans, and the digest of the kept bytes."""
+    """Per document: bytes, removed bytes, spans, the digest of the kept bytes, and these as text.
+
+    `kept_text` shows the bytes that stay; where a cut falls within a character, U+FFFD stands for what is left of it.
+    """
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return removed.select(
-        F.col("id").alias("doc_id"), "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+        F.col("id").alias("doc_id"), "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"),
     )

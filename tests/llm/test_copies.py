@@ -110,7 +110,8 @@ def brute_repeats(rows, length):
             if seen[t[p : p + length]] > 1:
                 gone[p : p + length] = True
         spans = int((np.diff(np.r_[0, gone.astype(int)]) == 1).sum())
-        out.append((i, len(t), int(gone.sum()), spans, hashlib.sha256(np.frombuffer(t, np.uint8)[~gone].tobytes()).hexdigest()))
+        kept = np.frombuffer(t, np.uint8)[~gone].tobytes()
+        out.append((i, len(t), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace")))
     return sorted(out, key=repr)
 
 
