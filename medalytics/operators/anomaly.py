@@ -20,6 +20,12 @@ def zscore(
     stats = df.groupBy(*by).agg(
         F.avg(number).alias("group_mean"), F.coalesce(F.stddev_samp(number), F.lit(1.0)).alias("group_stddev")
     )
+    return scored_by(df, stats, value, by, tiers, two_sided)
+
+
+def scored_by(df: DataFrame, stats: DataFrame, value: str, by: list[str], tiers=V.SEVERITY_TIERS, two_sided: bool = False) -> DataFrame:
+    """Rows scored by the mean and deviation of their group in `stats`."""
+    number = F.col(value).cast("double")
     z = F.when(F.col("group_stddev") > 0, (number - F.col("group_mean")) / F.col("group_stddev")).otherwise(0.0)
     size = F.abs("z_score") if two_sided else F.col("z_score")
     return (
@@ -54,11 +60,6 @@ def rank_entities(
     """
     keys = [entity, name] if name and split_by_name else [entity]
     text = F.col(entity).cast("string")
-    flags = {
-        "flag_many_members": F.col("n_members") > many_members,
-        "flag_high_value": F.col("max_value") > high_value,
-        "flag_person_total": text.rlike(id_pattern) & (F.col("total_value") > id_total),
-    }
     finest = list(dict.fromkeys([*keys, member, *([name] if name else [])]))
     small = (
         df.filter(text.isNotNull() & (text != ""))
@@ -77,6 +78,24 @@ def rank_entities(
     )
     if name and not split_by_name:
         totals = totals.join(small.groupBy(entity).agg(F.max(name).alias(name)), entity)
+    return flagged(totals, entity, keys, many_members, high_value, id_pattern, id_total)
+
+
+def flagged(
+    totals: DataFrame,
+    entity: str,
+    keys: list[str],
+    many_members: int = V.SUPPLIER_FLAGS["many_members"],
+    high_value: float = V.SUPPLIER_FLAGS["high_value"],
+    id_pattern: str = V.SUPPLIER_FLAGS["id_pattern"],
+    id_total: float = V.SUPPLIER_FLAGS["id_total"],
+) -> DataFrame:
+    """Totals per entity with the three warning flags and their number, largest total first."""
+    flags = {
+        "flag_many_members": F.col("n_members") > many_members,
+        "flag_high_value": F.col("max_value") > high_value,
+        "flag_person_total": F.col(entity).cast("string").rlike(id_pattern) & (F.col("total_value") > id_total),
+    }
     return (
         totals.withColumns(flags)
         .withColumn("n_flags", sum((F.col(f).cast("int") for f in flags), F.lit(0)))

@@ -105,6 +105,32 @@ def expected_grid(ids: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
+def grid_gaps(ids: DataFrame, observed: DataFrame, on: str, year: str, month: str, start: str, end: str) -> DataFrame:
+    """(id, year, month) of the months from `start` to `end` (YYYY-MM) in which an id has no observed row.
+
+    An id that is null has no rows. The months seen are one bit mask of 62 months per id and span, put together by a bitwise aggregate; only the
+    bits that are missing become rows, so the whole grid is never made.
+    """
+    first_year, first_month = (int(x) for x in start.split("-"))
+    last_year, last_month = (int(x) for x in end.split("-"))
+    months = max(0, (last_year - first_year) * 12 + last_month - first_month + 1)
+    place = (F.col(year) - first_year) * 12 + F.col(month) - first_month
+    inside = observed.filter(place.between(0, months - 1) & F.col(month).between(1, 12))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 62).cast("int"))
+    masks = inside.groupBy(F.col(on).alias("__id"), F.floor(place / 62).alias("__span")).agg(F.bit_or(bit).alias("__mask"))
+    seen = masks.groupBy("__id").agg(F.map_from_entries(F.collect_list(F.struct("__span", "__mask"))).alias("__masks"))
+    met = ids.select(on).distinct().join(seen, F.col(on) == F.col("__id"), "left")
+    places = F.sequence(F.lit(0), F.lit(months - 1)) if months else F.array().cast("array<int>")
+
+    def missing(p):
+        mask = F.coalesce(F.element_at("__masks", F.floor(p / 62)), F.lit(0).cast("long"))
+        return F.getbit(mask, (p % 62).cast("int")) == 0
+
+    gaps = met.select(on, F.explode(F.filter(places, missing)).alias("__place"))
+    since = F.lit(first_month - 1) + F.col("__place")
+    return gaps.select(on, (F.lit(first_year) + F.floor(since / 12)).cast("int").alias("year"), (since % 12 + 1).cast("int").alias("month"))
+
+
 def stringify_all(df: DataFrame) -> DataFrame:
     """Every column as text; nested values as JSON."""
     return df.select(

@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import columns as C
-from ..functions.scratch import new_path
+from ..functions.scratch import new_path, store
 from ..operators import incremental, ingest, merge
-from ..sources import pages, tables
+from ..sources import compaction as packing
+from ..sources import pages, resume, tables
 from . import fixtures as X
 from .registry import query, r6
 
@@ -384,3 +385,62 @@ def compaction(spark, d):
     raw, out = new_path(spark, "small-files"), new_path(spark, "compacted")
     X.table(spark, d, "events").repartition(32).write.parquet(raw)
     return tables.compact(spark, raw, out, 4, ["event_type", "event_id"])
+
+
+@query("compaction_bins", "SELECT event_id, ts, user_id, event_type, value, props, true AS is_packed FROM events")
+def compaction_bins(spark, d):
+    """Many small files per partition and one large one: the small ones are joined, the large one keeps its name."""
+    path, events = new_path(spark, "many-files"), X.table(spark, d, "events")
+    events.filter("event_type <> 'view'").repartition(24).write.partitionBy("event_type").parquet(path)
+    events.filter("event_type = 'view'").coalesce(1).write.mode("append").partitionBy("event_type").parquet(path)
+    before = packing.data_files(spark, path).agg(F.count("*").alias("n"), F.max("bytes").alias("most"), F.max_by("file", "bytes").alias("large")).first()
+    packing.compact(spark, path, before["most"], sort_by=["event_id"])
+    after = packing.data_files(spark, path).agg(F.count("*").alias("n"), F.max(F.col("file") == before["large"]).alias("kept")).first()
+    packed = after["n"] < before["n"] / 2 and after["kept"]
+    return spark.read.parquet(path).select(*events.columns, F.lit(packed).alias("is_packed"))
+
+
+def monthly_units(spark, d):
+    """What is to be loaded: every region in every month that has documents."""
+    orders = X.table(spark, d, "lineitem").select(F.date_format("l_shipdate", "yyyy-MM").alias("month")).distinct()
+    return orders.join(X.table(spark, d, "nation").select(F.col("n_nationkey").alias("region")))
+
+
+def lines_of(spark, d, units):
+    """The document lines of some units, with their month."""
+    line, order, customer = (X.table(spark, d, t) for t in ("lineitem", "orders", "customer"))
+    lines = line.join(order, line.l_orderkey == order.o_orderkey).join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    lines = lines.withColumn("month", F.date_format("l_shipdate", "yyyy-MM")).withColumn("region", F.col("c_nationkey"))
+    months = units.select("month").distinct()
+    rows = lines.join(months, "month", "left_semi").join(units, ["month", "region"], "left_semi")
+    return rows.select("month", "region", F.col("l_orderkey").alias("doc_code"), F.col("l_linenumber").alias("doc_number"), F.col("l_extendedprice").alias("amount"))
+
+
+@query(
+    "resumable_load",
+    """SELECT strftime(l_shipdate, '%Y-%m') AS month, c_nationkey AS region, count(*) AS n_rows, round(sum(CAST(l_extendedprice AS DECIMAL(15,2))), 2)::DOUBLE AS amount
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2""",
+)
+def resumable_load(spark, d):
+    """A load by months that stops after two jobs, and a second run that does the rest."""
+    units, path = store(monthly_units(spark, d), "units").df, new_path(spark, "load")
+    fetch = lambda some: lines_of(spark, d, some)
+    resume.load(units, "month", fetch, path, at_once=24, stop_after=2)
+    resume.load(units, "month", fetch, path, at_once=60)
+    rows = resume.finished_rows(spark, path, lines_of(spark, d, units).schema, "month")
+    amount = F.sum(F.col("amount").cast("decimal(15,2)")).cast("double")
+    return rows.groupBy("month", "region").agg(F.count(F.lit(1)).alias("n_rows"), F.round(amount, 2).alias("amount"))
+
+
+@query(
+    "schema_union",
+    "SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN role END AS role, CASE WHEN turn % 3 = 1 THEN length(text) END AS size, text FROM conversations",
+)
+def schema_union(spark, d):
+    """Records whose keys differ from page to page; no schema is given, every key becomes a column."""
+    talk = X.table(spark, d, "conversations")
+    size = F.when(F.col("turn") % 3 == 1, F.length("text"))
+    role = F.when(F.col("turn") % 2 == 0, F.col("role"))
+    record = F.to_json(F.struct("conv_id", "turn", role.alias("role"), size.alias("size"), "text"))
+    found = pages.with_merged_schema(talk.select(record.alias("record")))
+    return found.select("conv_id", F.col("turn").cast(talk.schema["turn"].dataType), "role", "size", "text")

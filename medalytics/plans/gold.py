@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..functions.scratch import store
-from ..operators import anomaly, calendar_ops, engagement, groups, keys, textmatch
+from ..functions.scratch import new_path, store
+from ..operators import anomaly, calendar_ops, engagement, groups, keys, states, textmatch
 from . import fixtures as X
 from .registry import query, r6
 
@@ -43,6 +43,17 @@ def zscore_anomaly(spark, d):
     return rounded_scores(scored(spark, d))
 
 
+@query("zscore_incremental", ZSCORE_SQL, "amounts")
+def zscore_incremental(spark, d):
+    """A state of the groups from three loads, the last of which came twice, and all rows scored by it."""
+    rows, by, path = X.amounts(spark, d), ["category", "region"], new_path(spark, "moments")
+    loads = F.pmod(F.xxhash64("id"), F.lit(3))
+    for load in (0, 1, 2, 2):
+        states.add(states.moments(rows.filter(loads == load), "amount", by), path, str(load))
+    state = states.merge_moments(states.parts(spark, path), by)
+    return rounded_scores(states.zscore(rows, state, "amount", by))
+
+
 @query("anomaly_report", f"SELECT * FROM ({ZSCORE_SQL}) WHERE is_anomaly", "amounts")
 def anomaly_report(spark, d):
     return rounded_scores(anomaly.anomalies(scored(spark, d)))
@@ -53,9 +64,7 @@ def severity_histogram(spark, d):
     return anomaly.counts(scored(spark, d).filter("is_anomaly"), ["severity"])
 
 
-@query(
-    "supplier_ranking",
-    """
+RANKING_SQL = """
 WITH g AS (SELECT tie_part AS supplier, max(category) AS supplier_name, sum(amount) AS total_value, count(*) AS n_documents,
   CAST(sum(amount) AS DOUBLE) / count(*) AS mean_value, max(amount) AS max_value, count(DISTINCT member_id) AS n_members
   FROM fact_expenses WHERE amount > 0 GROUP BY tie_part)
@@ -64,34 +73,79 @@ SELECT supplier, supplier_name, round(CAST(total_value AS DOUBLE), 6) AS total_v
   regexp_matches(CAST(supplier AS VARCHAR), '^[0-9]{3}$') AND total_value > 1700000 AS flag_person_total,
   CAST(n_members > 30 AS INT) + CAST(max_value > 103000 AS INT)
    + CAST(regexp_matches(CAST(supplier AS VARCHAR), '^[0-9]{3}$') AND total_value > 1700000 AS INT) AS n_flags
-FROM g""",
-    "fact_expenses",
-)
-def supplier_ranking(spark, d):
-    facts = fact_expenses(spark, d).select(
-        F.col("tie_part").alias("supplier"), F.col("category").alias("supplier_name"), "amount", "member_id"
-    )
-    ranked = anomaly.rank_entities(
-        facts, "supplier", "amount", "member_id", "supplier_name", 30, 103_000, "^[0-9]{3}$", 1_700_000
-    )
+FROM g"""
+
+RANKING_LIMITS = {"many_members": 30, "high_value": 103_000, "id_pattern": "^[0-9]{3}$", "id_total": 1_700_000}
+
+
+def rounded_ranking(ranked):
     return ranked.select(
         "supplier", "supplier_name", r6("total_value"), "n_documents", "mean_value",
         r6("max_value"), "n_members", "flag_many_members", "flag_high_value", "flag_person_total", "n_flags",
     )
 
 
+@query("supplier_ranking", RANKING_SQL, "fact_expenses")
+def supplier_ranking(spark, d):
+    facts = supplier_facts(fact_expenses(spark, d))
+    return rounded_ranking(anomaly.rank_entities(facts, "supplier", "amount", "member_id", "supplier_name", **RANKING_LIMITS))
+
+
+def supplier_facts(facts):
+    return facts.select(F.col("tie_part").alias("supplier"), F.col("category").alias("supplier_name"), "amount", "member_id", "yr", "mon", "party", "category")
+
+
+def loaded_totals(spark, facts, by, name=None):
+    """A state of totals from the loads of two spans of years, folded, and a third."""
+    path, years = new_path(spark, "totals"), F.col("yr")
+    spans = {"to-1993": years <= 1993, "to-1996": years.between(1994, 1996), "rest": years > 1996}
+    for n, (load, span) in enumerate(spans.items()):
+        if n == 2:
+            states.fold(spark, path, states.merge_totals(states.parts(spark, path), by, "member_id", name))
+        states.add(states.totals(facts.filter(span), by, "member_id", "amount", name), path, load)
+    return states.merge_totals(states.parts(spark, path), by, "member_id", name)
+
+
+@query("supplier_ranking_incremental", RANKING_SQL, "fact_expenses")
+def supplier_ranking_incremental(spark, d):
+    """The ranking out of stored parts, one per load."""
+    facts = store(supplier_facts(fact_expenses(spark, d)), "facts").df
+    state = loaded_totals(spark, facts, ["supplier"], "supplier_name")
+    return rounded_ranking(states.ranking(state, "supplier", "member_id", "supplier_name", **RANKING_LIMITS))
+
+
 @query(
-    "monthly_report",
-    """SELECT party, yr, mon, category, round(CAST(sum(amount) AS DOUBLE), 6) AS total_value, count(*) AS n_rows,
-  CAST(sum(amount) AS DOUBLE) / count(*) AS mean_value, count(DISTINCT member_id) AS n_members
-FROM fact_expenses WHERE amount > 0 GROUP BY party, yr, mon, category""",
+    "category_median_flag",
+    """WITH m AS (SELECT category, median(CAST(amount AS DOUBLE)) AS category_median FROM fact_expenses WHERE amount > 0 GROUP BY 1),
+g AS (SELECT supplier_id, category, CAST(sum(amount) AS DOUBLE) / count(*) AS mean_value, count(*) AS n_documents FROM fact_expenses WHERE amount > 0 GROUP BY 1, 2)
+SELECT supplier_id, category, round(mean_value, 6) AS mean_value, n_documents, round(category_median, 6) AS category_median,
+  mean_value > category_median * 1.5 AS is_above_median FROM g JOIN m USING (category)""",
     "fact_expenses",
 )
+def category_median_flag(spark, d):
+    found = states.above_median(fact_expenses(spark, d), "supplier_id", "category", "amount", 1.5)
+    return found.select("supplier_id", "category", r6("mean_value"), "n_documents", r6("category_median"), "is_above_median")
+
+
+MONTHLY_SQL = """SELECT party, yr, mon, category, round(CAST(sum(amount) AS DOUBLE), 6) AS total_value, count(*) AS n_rows,
+  CAST(sum(amount) AS DOUBLE) / count(*) AS mean_value, count(DISTINCT member_id) AS n_members
+FROM fact_expenses WHERE amount > 0 GROUP BY party, yr, mon, category"""
+
+
+@query("monthly_report", MONTHLY_SQL, "fact_expenses")
 def monthly_report(spark, d):
     found = anomaly.report(fact_expenses(spark, d), ["party", "yr", "mon", "category"], "amount", "member_id")
     return found.select("party", "yr", "mon", "category", r6("total_value"), "n_rows", "mean_value", "n_members")
 
 
+@query("monthly_report_incremental", MONTHLY_SQL, "fact_expenses")
+def monthly_report_incremental(spark, d):
+    """The report out of stored parts, one per load."""
+    facts, by = store(supplier_facts(fact_expenses(spark, d)), "facts").df, ["party", "yr", "mon", "category"]
+    found = states.report(loaded_totals(spark, facts, by), by, "member_id")
+    return found.select(*by, r6("total_value"), "n_rows", "mean_value", "n_members")
+
+
 @query(
     "top_expenses",
     """SELECT member_id, doc_code, doc_number, category, supplier_name, doc_date, CAST(amount AS DOUBLE) AS amount

@@ -372,8 +372,8 @@ def expected_grid(spark, d):
     "expenses all_members",
 )
 def grid_gaps(spark, d):
-    seen = X.expenses(spark, d).groupBy("member_id", F.col("yr").alias("year"), F.col("mon").alias("month")).count()
-    return expected_grid(spark, d).join(seen, ["member_id", "year", "month"], "left_anti")
+    ids = X.members(spark, d).select("member_id")
+    return ingest.grid_gaps(ids, X.expenses(spark, d), "member_id", "yr", "mon", "1996-01", "1996-12")
 
 
 @query(

@@ -100,3 +100,31 @@ def rescue(df: DataFrame, value: str, schema: T.StructType) -> DataFrame:
         F.from_json(value, schema).alias("__r"),
         F.when(F.size(extra) > 0, F.to_json(extra)).alias("_rescued"),
     ).select(*others, "__r.*", "_rescued")
+
+
+def merged_schema(records: DataFrame, value: str = "record") -> T.StructType:
+    """The schema that holds every JSON record: all keys of all of them, each with a type that takes all its values.
+
+    Keys go by name. A record that is no JSON object, or a null, adds nothing; without any key there are no
+    columns. One line with the schema comes to the driver; its size is that of the schema.
+    """
+    parsed = F.try_parse_json(value)
+    merged = records.select(F.schema_of_variant_agg(F.when(F.schema_of_variant(parsed).startswith("OBJECT<"), parsed)).alias("s")).first()["s"]
+    if not merged.startswith("OBJECT<") or merged == "OBJECT<>":
+        return T.StructType()
+    text = merged.replace("OBJECT<", "STRUCT<").replace("VARIANT", "STRING").replace("VOID", "STRING")
+    found = records.sparkSession.sql(f"SELECT from_json(NULL, '{text.replace(chr(39), chr(92) + chr(39))}') AS r").schema["r"].dataType
+    return T.StructType(sorted(found.fields, key=lambda f: f.name))
+
+
+def with_merged_schema(records: DataFrame, value: str = "record", schema: T.StructType | None = None) -> DataFrame:
+    """JSON records as columns, those that only later records have included; missing keys are null.
+
+    Read as variants, each key by its merged type: a key whose records disagree is text, nested values are
+    JSON there. Other columns are kept before the keys.
+    """
+    schema = merged_schema(records, value) if schema is None else schema
+    others = [c for c in records.columns if c != value]
+    parsed = records.select(*others, F.try_parse_json(value).alias("__v"))
+    keys = [F.try_variant_get("__v", "$['" + f.name.replace("'", "\\'") + "']", f.dataType.simpleString()).alias(f.name) for f in schema.fields]
+    return parsed.select(*others, *keys)

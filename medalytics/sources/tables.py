@@ -76,7 +76,8 @@ def write_split(df: DataFrame, rules: list[Expectation], path: str, load: str =
 
 def quarantined(spark: SparkSession, path: str, load: str) -> DataFrame:
     """The rejected rows of a load."""
-    return spark.read.parquet(path).filter((F.col("_load") == load) & F.col("_rejected"))
+    # a boolean in a path is read as text
+    return spark.read.parquet(path).filter((F.col("_load") == load) & F.col("_rejected").cast("boolean"))
 
 
 def replay_rejected(
@@ -176,8 +177,11 @@ def compact(spark: SparkSession, path: str, out: str, files: int, cluster_by: li
     return spark.read.parquet(out)
 
 
-def statistics(spark: SparkSession, table: str) -> None:
+def statistics(spark: SparkSession, table: str, columns: list[str] | None = None) -> None:
+    """Size and row count of a table, and the spread of some columns for the planner."""
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
+    if columns:
+        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {', '.join(f'`{c}`' for c in columns)}")
 
 
 def sql_over(spark: SparkSession, text: str, args: dict | None = None, **frames: DataFrame) -> DataFrame:
