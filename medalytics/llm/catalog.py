@@ -120,7 +120,8 @@ def op8_line_dedup(spark, folder):
 
 @query("op9_secrets")
 def op9_secrets(spark, folder):
-    return secretscan.report(secretscan.find_secrets(table(spark, folder, "documents")))
+    docs = table(spark, folder, "documents")
+    return secretscan.report(secretscan.find_secrets(docs, words=secretscan.learned_words(docs)))
 
 
 @query("op10_language")

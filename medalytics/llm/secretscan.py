@@ -1,7 +1,9 @@
 """Secrets in texts: fixed patterns, and values beside credential words that would be hard to guess."""
 
+import heapq
 import math
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,16 +17,18 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # a run of 24 or more; shorter runs fail and
 KINDS = ("assign", "access", "hex", "guess")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 
-#: Words beside which a value may be a credential; the first group is what follows them. It is looked ahead at,
-#: so that a value which is refused hides no context within it.
+#: Words beside which a value may be a credential, up to the first sign of the value. Only that sign is looked at, so that
+#: a value which is refused hides no context within it and unbroken runs are not read again for every context.
 CONTEXT = re.compile(
     r"""(?:pass(?:word|wd|phrase|code)?|pwd|auth(?:orization)?|bearer|credentials?|login|secret|token|(?:private|access|api|signing)[_-]?key)"""
-    r"""(?=["']?\x20*(?::=|=>|[:=]|\x20)\x20*["']?([!-&(-~]{8,}))""",
+    r"""(?=(["']?\x20*(?::=|=>|[:=]|\x20)\x20*["']?)[!-&(-~])""",
     re.I | re.A,
 )
+RUN = re.compile("[!-&(-~]+")
+MIN_GUESS = 8
 HINTS = (b"pass", b"pwd", b"auth", b"bearer", b"credential", b"login", b"secret", b"token", b"key")
 
-#: Words that people put into passwords, the most common first.
+#: Words that people put into passwords, the most common first; the words of the texts follow them, see `learned_words`.
 WORDS = (
     "password qwerty admin welcome letmein monkey dragon master login abc iloveyou sunshine princess football shadow "
     "michael jennifer superman batman trustno hello freedom whatever secret test guest root changeme default pass user "
@@ -66,51 +70,105 @@ def _char_bits(c):
     return math.log2(33 if c.isascii() else 1000)
 
 
-def guess_bits(value: str, words: tuple = tuple(WORDS)) -> float:
-    """Bits of the cheapest way to guess a value: a segmentation of least cost by dynamic programming.
+class Words:
+    """Ranks of words, and how long the longest is."""
 
-    Segments are words (the log of the rank, and a bit for capitals), dates, repeats (one unit and how
-    often), keyboard walks of three keys or more (a start and a bit per step), or single characters by
-    brute force. Each segment that is not brute force costs one bit more.
+    def __init__(self, words=WORDS):
+        self.rank = {}
+        for word in words:
+            self.rank.setdefault(word, len(self.rank) + 1)
+        self.longest = max(map(len, self.rank), default=0)
+
+
+SEED_WORDS = Words()
+
+
+def common_extension(value: str, a: int, b: int) -> int:
+    """How many characters from `a` on equal those from `b` on (a < b), by comparing ever longer pieces."""
+    n, size, done = len(value), 16, 0
+    while b + done < n:
+        size = min(size, n - b - done)
+        if value[a + done : a + done + size] == value[b + done : b + done + size]:
+            done += size
+            size *= 2
+        elif size == 1:
+            break
+        else:
+            size //= 2
+    return done
+
+
+def repeats_from(value: str, i: int, longest: int):
+    """(unit, end) of the repetitions that begin at `i`: units of up to `longest`, as far as they go on, cut to whole units.
+
+    A unit that is a smaller one several times is not given. Units of eight or more are found where the eight
+    characters at `i` come again.
+    """
+    n, covered = len(value), i
+    for unit in range(1, 8):
+        if covered < i + 2 * unit <= n and value.startswith(value[i : i + unit], i + unit):
+            end = i + unit + common_extension(value, i, i + unit)
+            covered = max(covered, end)
+            yield unit, end - (end - i) % unit
+    head, at = value[i : i + 8], i + 8
+    while len(head) == 8 and (at := value.find(head, max(at, (i + covered + 1) // 2), i + longest + 8)) >= 0 and 2 * at - i <= n:
+        alike = common_extension(value, i, at)
+        if alike >= at - i:
+            covered = max(covered, at + alike)
+            yield at - i, at + alike - (at + alike - i) % (at - i)
+        at += 1
+
+
+def guess_bits(value: str, words: Words = SEED_WORDS, enough: float = 128.0) -> float:
+    """Bits of the cheapest way to guess a value: a segmentation of least cost, or `enough` if it costs that or more.
+
+    Segments are words (the log of the rank, and a bit for capitals), dates, repeats (one unit of any length and
+    how often), keyboard walks of three keys or more of any length (a start and a bit per step), and single
+    characters by brute force. Each segment that is not brute force costs one bit more. A repeat or walk goes to
+    its end, or to one of the places before it from which a word could reach beyond it.
+
+    Places are settled in the order of their cost, so a value without structure is given up after some forty
+    characters, whatever its length, and a long one with structure takes few steps.
     """
-    rank = {w: i + 1 for i, w in enumerate(words)}
-    longest = max(map(len, words), default=0)
     n, low = len(value), value.lower()
     if len(low) != n:
         low = value
-    brute = [_char_bits(c) for c in value]
-    cost = [0.0] + [math.inf] * n
-    same = walk = 0
-    for i in range(n):
-        here = cost[i]
+    back = max(words.longest, 10)  # dates have ten characters at most
+    best, heap, settled, walk = {0: 0.0}, [(0.0, 0)], set(), (0, 0)
+    while heap:
+        here, i = heapq.heappop(heap)
+        if here >= enough:
+            return enough
+        if i == n:
+            return here
+        if i in settled:
+            continue
+        settled.add(i)
 
         def reach(end, bits):
-            if here + bits < cost[end]:
-                cost[end] = here + bits
-
-        reach(i + 1, brute[i])
-        for end in range(i + 3, min(n, i + longest) + 1):
-            if low[i:end] in rank:
-                reach(end, 2 + math.log2(rank[low[i:end]]) + (value[i:end] != low[i:end]))
+            if here + bits < best.get(end, math.inf):
+                best[end] = here + bits
+                heapq.heappush(heap, (here + bits, end))
+
+        reach(i + 1, _char_bits(value[i]))
+        for end in range(i + 3, min(n, i + words.longest) + 1):
+            if low[i:end] in words.rank:
+                reach(end, 2 + math.log2(words.rank[low[i:end]]) + (value[i:end] != low[i:end]))
         found = DATE.match(value, i)
         if found:
             reach(found.end(), 1 + (DATE_BITS if found.end() - i > 4 else math.log2(120)))
-        for unit in range(1, 5):  # the unit at i, as often as it goes on
-            end = i + unit
-            while value.startswith(value[i : i + unit], end) and end + unit <= n:
-                end += unit
-                if end - i >= 3:
-                    reach(end, 1 + sum(brute[i : i + unit]) + math.log2((end - i) // unit))
-                if end - i > 64 and unit > 1:
-                    break
-            if unit == 1 and end - i > 64:
-                break
-        end = i + 1
-        while end < n and end - i < 64 and low[end] in STEPS.get(low[end - 1], ()):
-            end += 1
-            if end - i >= 3:
-                reach(end, 1 + math.log2(40) + (end - i - 1))
-    return cost[n]
+        for unit, end in repeats_from(value, i, int(enough / 3)):  # a longer unit costs enough by itself
+            own = 1 + sum(map(_char_bits, value[i : i + unit]))
+            for stop in range(end, max(i + max(3, 2 * unit) - 1, end - back - unit), -unit):
+                reach(stop, own + math.log2((stop - i) // unit))
+        if not walk[0] <= i < walk[1]:
+            end = i + 1
+            while end < n and low[end] in STEPS.get(low[end - 1], ()):
+                end += 1
+            walk = (i, end)
+        for end in range(walk[1], max(i + 2, walk[1] - back - 1), -1):
+            reach(end, 1 + math.log2(40) + (end - i - 1))
+    return 0.0
 
 
 def base_spans(text: str):
@@ -120,27 +178,38 @@ def base_spans(text: str):
     return found + [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
 
 
-def guess_spans(text: str, taken, min_bits: float):
+def guess_spans(text: str, taken, min_bits: float, words: Words = SEED_WORDS):
     """Values beside credential words that cost at least `min_bits` to guess and do not lie within one span of `taken`.
 
-    A value of letters alone is prose, not a credential; digits or other signs must be mixed in. A value that
-    reaches beyond a span of `taken` is given whole. Values that end alike are given once, from the first context on.
+    A value is the unbroken run from the first sign after the word to its end, without closing marks, of MIN_GUESS
+    characters or more. One of letters alone is prose, not a credential; digits or other signs must be mixed in. A
+    value that reaches beyond a span of `taken` is given whole. Values that end alike are given once, from the
+    first context on. Runs are found once per text, and a value that is one refused before less some of its
+    repeated units is refused without being read again, so a text without a break takes linear time.
     """
-    last = 0
+    runs, last, refused = None, 0, {}
     for m in CONTEXT.finditer(text):
-        if m.end(1) <= last:
+        start = m.end(1)
+        if runs is None:
+            runs = [(r.start(), r.end(), r.start() + len(r[0].rstrip(".,;:!?)]}>\"'"))) for r in RUN.finditer(text)]
+        _, end, kept = runs[bisect_right(runs, (start, len(text) + 1, 0)) - 1]
+        if end <= last or kept - start < MIN_GUESS or any(a <= start and kept <= b for _, a, b in taken):
             continue
-        start, value = m.start(1), m[1].rstrip(".,;:!?)]}>\"'")
-        end = start + len(value)
-        mixed = any(c.isalpha() for c in value) and not value.isalpha()
-        if len(value) >= 8 and mixed and not any(a <= start and end <= b for _, a, b in taken):
-            bits = guess_bits(value)
+        if any(start % unit == rest and start + 2 * unit <= upto for (unit, rest), upto in refused.items()):
+            continue
+        value = text[start:kept]
+        if any(c.isalpha() for c in value) and not value.isalpha():
+            bits = guess_bits(value, words)
             if bits >= min_bits:
-                last = m.end(1)
-                yield "guess", start, end, bits
+                last = end
+                yield "guess", start, kept, bits
+            elif len(value) > 64:
+                unit, upto = max(repeats_from(value, 0, 64), key=lambda r: r[1], default=(1, 0))
+                if upto == len(value):
+                    refused[unit, start % unit] = kept
 
 
-def scan_text(data: bytes, min_bits: float = 40.0):
+def scan_text(data: bytes, min_bits: float = 40.0, words: Words = SEED_WORDS):
     """All spans of a text given in UTF-8 as (kind, start, end, bits), by start, then kind as listed.
 
     `bits` is the guess cost of what an assignment or a credential context holds, null for the others.
@@ -151,15 +220,28 @@ def scan_text(data: bytes, min_bits: float = 40.0):
         return []
     text = data.decode("utf-8", "replace")
     base = base_spans(text)
-    found = [(kind, a, b, guess_bits(ASSIGN.match(text, a)[2]) if kind == "assign" else None) for kind, a, b in base]
-    found += guess_spans(text, base, min_bits)
+    found = [(kind, a, b, guess_bits(ASSIGN.match(text, a)[2], words) if kind == "assign" else None) for kind, a, b in base]
+    found += guess_spans(text, base, min_bits, words)
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bits: float = 40.0) -> DataFrame:
+def learned_words(docs: DataFrame, text_col: str = "text", max_words: int = 20_000) -> Words:
+    """The seed words, and after them the `max_words` most frequent words of all texts (3 to 24 letters a-z, in either case).
+
+    Words are counted over all rows by partial aggregates; only the most frequent come to the driver, ties by
+    the word.
+    """
+    found = docs.select(F.explode(F.regexp_extract_all(F.lower(text_col), F.lit("(?<![a-z])[a-z]{3,24}(?![a-z])"), F.lit(0))).alias("word"))
+    most = found.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "word").limit(max_words)
+    return Words([*WORDS, *[r["word"] for r in most.collect()]])
+
+
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bits: float = 40.0, words: Words = SEED_WORDS) -> DataFrame:
     """(id, spans) per row, spans of (kind, start, end, bits) in code points, end exclusive.
 
-    A null text counts as empty; a null id is carried through. Texts are read whole, other columns not.
+    A null text counts as empty; a null id is carried through. Texts are read whole, however long, in time in
+    proportion to their length; other columns are not read. `bits` of 128 stand for that or more. `words` are the
+    ranked words of the guess cost, such as those of `learned_words`.
     """
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
@@ -169,7 +251,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def scan(batches):
         for batch in batches:
-            found = [[dict(zip(("kind", "start", "end", "bits"), s)) for s in scan_text(t, min_bits)] for t in batch.column("text").to_pylist()]
+            found = [[dict(zip(("kind", "start", "end", "bits"), s)) for s in scan_text(t, min_bits, words)] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, kind)], ["id", "spans"])
 
     return rows.mapInArrow(scan, schema)
