@@ -13,6 +13,9 @@ SPACE_MARK = "▁"
 SLOT_BITS = 19
 BLOCK = 1 << 19
 PLACE_BITS = 32
+#: Up to so many bytes a string is a number by itself; longer ones have a hash, and their bytes are compared.
+SHORT = 8
+ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _byte_codes():
@@ -58,6 +61,22 @@ def _mixed(x):
     return x ^ (x >> np.uint64(31))
 
 
+def _numbers(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place as one number, zeros after the end."""
+    padded = np.r_[data, np.zeros(SHORT, np.uint8)].astype(np.uint64)
+    found = np.zeros(len(data), np.uint64)
+    for i in range(SHORT):
+        found |= padded[i : i + len(data)] << np.uint64(8 * i)
+    return found
+
+
+def _short_keys(numbers: np.ndarray, length: int) -> np.ndarray:
+    """Keys of the strings of `length` bytes at the front of the numbers: equal only for equal strings of this length."""
+    if length < SHORT:
+        numbers = numbers & np.uint64((1 << (8 * length)) - 1) | np.uint64(length << 56)
+    return numbers * ODD
+
+
 class Sampler:
     """Encodes and decodes texts with one vocabulary.
 
@@ -73,11 +92,18 @@ class Sampler:
         ids = np.array([i for i, p in enumerate(vocabulary.pieces) if p], np.int64)
         ids = ids[[b"\n" not in vocabulary.pieces[i] and b" " not in vocabulary.pieces[i].lstrip(b" ") for i in ids]]
         texts = [vocabulary.pieces[i] for i in ids]
-        sums, _ = self._sums(np.frombuffer(b"".join(texts), np.uint8))
-        ends = np.cumsum([len(t) for t in texts])
-        hashed = self._hash(sums, np.r_[0, ends[:-1]], ends)
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        sums, _ = self._sums(data)
+        size = np.array([len(t) for t in texts])
+        first = np.cumsum(size) - size
+        hashed = self._hash(sums, first, first + size)
+        numbers = _numbers(data)[first]
+        for length in range(1, SHORT + 1):
+            hashed[size == length] = _short_keys(numbers[size == length], length)
         order = np.argsort(hashed)
-        self.hashes, self.ids = hashed[order], ids[order]
+        self.hashes, self.ids, self.sizes = hashed[order], ids[order], size[order]
+        if (self.hashes[1:] == self.hashes[:-1]).any():
+            raise ValueError("two pieces have one hash; choose another seed of the byte codes")
         slot, at, count = np.unique(self.hashes >> np.uint64(64 - SLOT_BITS), return_index=True, return_counts=True)
         self.slots, self.crowd = np.full(1 << SLOT_BITS, -1, np.int32), int(count.max())
         self.slots[slot] = at  # pieces of one slot follow each other
@@ -126,19 +152,27 @@ class Sampler:
         offset = np.arange(len(unit)) - np.repeat(np.cumsum(size) - size, size)
         node, left = first[unit] + offset, size[unit] - offset
         sums, n = self._sums(data)
+        numbers = _numbers(data)
         ends, begins, piece, weight = [], [], [], []
         for length in self.lengths:
             if length > n:
                 continue
             fits = np.flatnonzero(left[: n - length + 1] >= length)
-            hashed = self._hash(sums, slice(0, n - length + 1), slice(length, n + 1))[fits]
+            if length <= SHORT:
+                hashed = _short_keys(numbers[fits], length)
+            else:
+                hashed = self._hash(sums, slice(0, n - length + 1), slice(length, n + 1))[fits]
             slot = self.slots[hashed >> np.uint64(64 - SLOT_BITS)]
             likely = np.flatnonzero(slot >= 0)
             slot, hashed = slot[likely], hashed[likely]
             for _ in range(1, self.crowd):
                 slot += (self.hashes[slot] != hashed) & (slot + 1 < len(self.hashes))
-            hit = self.hashes[slot] == hashed
+            hit = (self.hashes[slot] == hashed) & (self.sizes[slot] == length)
             fits, ids = fits[likely[hit]], self.ids[slot[hit]]
+            if length > SHORT and len(fits):
+                spot, spelled = np.arange(length), self.spelled_start[ids]
+                same = (data[fits[:, None] + spot] == self.spelled[spelled[:, None] + spot]).all(axis=1)
+                fits, ids = fits[same], ids[same]
             begins.append(node[fits])
             ends.append(node[fits] + length)
             piece.append(ids)
@@ -189,7 +223,7 @@ class Sampler:
         units = np.bincount(text, minlength=len(texts))
         number = np.arange(len(begin)) - np.repeat(np.cumsum(units) - units, units) + unit_zero[text]
         sums, _ = self._sums(data)
-        _, one, of = np.unique(self._hash(sums, begin, end), return_index=True, return_inverse=True)
+        one, of = self._kinds(data, self._hash(sums, begin, end), begin, end)
         width = (end - begin)[one]
         byte = np.repeat(begin[one] - (np.cumsum(width) - width), width) + np.arange(width.sum())
         first, nodes, head, back, piece, share = self._lattice(data[byte], width)
@@ -222,6 +256,29 @@ class Sampler:
         per_text = np.bincount(text, weights=count, minlength=len(texts)).astype(np.int64)
         return ids, per_text, units
 
+    @staticmethod
+    def _kinds(data, hashed, begin, end):
+        """(one unit of each kind, kind of every unit): units are of one kind if their bytes are the same.
+
+        Units of one hash are compared byte by byte with the first of them; those that differ are told apart by
+        their bytes.
+        """
+        _, one, of = np.unique(hashed, return_index=True, return_inverse=True)
+        size, like = end - begin, begin[one[of]]
+        other = size != size[one[of]]
+        place = np.arange(len(data)) + np.repeat(np.where(other, 0, like - begin), size)
+        other |= np.logical_or.reduceat(data != data[place], begin)
+        if other.any():
+            kinds, found = {}, [one]
+            for i in np.flatnonzero(other):
+                bytes_ = data[begin[i] : end[i]].tobytes()
+                if bytes_ not in kinds:
+                    kinds[bytes_] = len(one) + len(kinds)
+                    found.append([i])
+                of[i] = kinds[bytes_]
+            one = np.concatenate(found)
+        return one, of
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes that a sequence of ids stands for."""
         n = self.spelled_length[ids]
@@ -271,7 +328,8 @@ def sampled(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", tex
 
     `ids` is one segmentation, drawn with the chance that its pieces' weights to the power `alpha` give it
     (1: by the weights, near 0: all alike); the draws follow the row's id and the seed, so a row gets the same one in every run and every place.
-    `lossless` says that decoding gave the text's bytes back (it does, whatever the text holds). Null and
+    `lossless` says that decoding gave the text's bytes back: it does, whatever the text holds, as units and pieces
+    are told apart by their bytes and not by a hash alone. Null and
     empty texts have no pieces; rows without an id share one series of draws. Other columns are not read.
     """
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")

@@ -44,13 +44,15 @@ def test_a_row_does_not_depend_on_its_block(vocabulary):
     assert any((one(sampler, texts[0], s).tolist() != parts[0].tolist()) for s in range(20))
 
 
-def test_shares_of_all_segmentations(sampler, vocabulary):
+@pytest.mark.parametrize("alpha", [1.0, 0.25])
+def test_shares_of_all_segmentations(vocabulary, alpha):
     """Sampled frequencies against the exact shares of all segmentations of a word."""
+    sampler = pieces.Sampler(vocabulary, alpha)
     word = b" there"
     weight = {}
     for i, p in enumerate(vocabulary.pieces):
         if p and p in word:
-            weight.setdefault(p, (i, vocabulary.log_p[i]))
+            weight.setdefault(p, (i, alpha * vocabulary.log_p[i]))
     every = {}
 
     def walk(at, ids, total):
