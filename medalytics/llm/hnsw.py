@@ -12,6 +12,8 @@ from .vectors import block, matrix, spread, usable
 
 LINKS = 16
 CANDIDATES = 48
+#: A query with so many links in a shard lies in a crowd, where its links are counted by exact comparison.
+CROWD = 256
 SLACK = 1e-4  # float32 scores within this of the threshold are decided in double
 
 
@@ -130,9 +132,13 @@ class Graph:
             query, node, score, open_ = query[keep], node[keep], score[keep], open_[keep]
 
     def links(self, queries: np.ndarray, threshold: float, beam: int, at_once: int = 256):
-        """(query, node) of all found at or over the threshold; beams full of such nodes are doubled."""
-        found, todo = [], np.arange(len(queries))
-        while len(todo):
+        """(query, node, exact) of all found at or over the threshold; `exact` says which queries were compared with every node.
+
+        Beams full of such nodes are doubled, up to CROWD; a query with more of them lies in a crowd and is
+        compared with every node in matrix products.
+        """
+        found, todo, exact = [], np.arange(len(queries)), np.zeros(len(queries), bool)
+        while len(todo) and beam <= CROWD:
             again = []
             for at in range(0, len(todo), at_once):
                 some = todo[at : at + at_once]
@@ -143,30 +149,42 @@ class Graph:
                 found.append((some[query[near]], node[near]))
                 again.append(some[full])
             todo, beam = np.concatenate(again), beam * 2
-        return [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, np.int64)] * 2
+        exact[todo] = True
+        found.append(self.scan(queries, todo, threshold))
+        return *(np.concatenate(x) for x in zip(*found)), exact
+
+    def scan(self, queries: np.ndarray, some: np.ndarray, threshold: float, at_once: int = 512):
+        """(query, node) at or over the threshold of some queries, each compared with every node."""
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for at in range(0, len(some), at_once):
+            i, j = np.nonzero(queries[some[at : at + at_once]] @ self.unit.T >= threshold)
+            found.append((some[at : at + at_once][i], j))
+        return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def audited_links(graph: Graph, queries: np.ndarray, threshold: float, beam: int = 64, audit: int = 64, recall: float = 0.995):
-    """Links of all queries, with a beam wide enough for an audit of evenly spaced queries by brute force.
+def audited_links(graph: Graph, queries: np.ndarray, threshold: float, beam: int = 64, audit: int = 256, recall: float = 0.999):
+    """Links of all queries and which were compared exactly, with a beam wide enough for an audit by brute force.
 
-    The audit wants `recall` of the links and of the ten nearest. A graph that fails it with a beam over
-    all its nodes is compared exactly.
+    The audit takes evenly spaced queries and looks at each by itself, so that the many links of a crowd cannot
+    cover those that others miss: every one must find all its links, and on average `recall` of its ten nearest.
+    A graph that fails with a beam of CROWD is compared exactly.
     """
     queries = queries.astype(np.float32)
     some = queries[np.linspace(0, len(queries) - 1, min(audit, len(queries))).astype(int)]
     truth = some @ graph.unit.T
     k = min(10, truth.shape[1])
     tenth = np.partition(truth, -k, axis=1)[:, -k]
-    while beam < 2 * len(graph.ids):
-        query, _, score = graph.search(some, min(beam, len(graph.ids)))
-        nearest = (score >= tenth[query] - 1e-6).sum() / (len(some) * k)
-        wanted = (truth >= threshold + 1e-6).sum()
-        hit = len(graph.links(some, threshold, beam)[0])
-        if nearest >= recall and hit >= recall * wanted:
+    wanted = (truth >= threshold + 1e-6).sum(axis=1)
+    while beam <= CROWD:
+        query, _, score = graph.search(some, beam)
+        nearest = np.minimum(np.bincount(query[score >= tenth[query] - 1e-6], minlength=len(some)), k) / k
+        i, j, _ = graph.links(some, threshold, beam)
+        linked = np.bincount(i[truth[i, j] >= threshold + 1e-6], minlength=len(some))
+        if nearest.mean() >= recall and (linked >= wanted).all():
             return graph.links(queries, threshold, beam)
         beam *= 2
-    parts = [np.nonzero(queries[at : at + 512] @ graph.unit.T >= threshold) for at in range(0, len(queries), 512)]
-    return np.concatenate([i + 512 * p for p, (i, _) in enumerate(parts)]), np.concatenate([j for _, j in parts])
+    every = np.arange(len(queries))
+    return *graph.scan(queries, every, threshold), np.ones(len(queries), bool)
 
 
 def unit_rows(rows: np.ndarray) -> np.ndarray:
@@ -174,7 +192,7 @@ def unit_rows(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1)[:, None]
 
 
-def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", threshold: float = 0.93, shard_rows: int = 16384, block_rows: int = 2048) -> DataFrame:
+def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", threshold: float = 0.93, shard_rows: int = 16384, block_rows: int = 131072) -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row of `vectors`.
 
     Two vectors of one label are linked if they are found with a cosine of at least `threshold` in double
@@ -183,9 +201,11 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     of another length are not compared. Repeated rows of one id and vector count once. Equal vectors are one
     node of the graphs whatever their number, and link with each other. Other columns are not read.
 
-    Every label is dealt into shards of about `shard_rows`; each has one graph, stored once, and every
-    block of the label's vectors queries every shard. Tasks send on a count per vector and a star per group,
-    not the links.
+    Every label is dealt into shards of about `shard_rows`; each has one graph, stored once, past which all
+    vectors of the label stream in blocks of about `block_rows`. A link that is found from either end counts
+    for both: outside crowds the pairs themselves are written and told apart, at most CROWD for a vector and
+    shard; in a crowd a vector is compared with the whole shard and only counted, and so are those it is
+    linked to. Components get a star per group, not the links.
     """
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"), F.col(label_col).alias("label"))
     takes_part = usable(F.col("vec")) & F.col("label").isNotNull() & F.col("id").isNotNull()
@@ -197,53 +217,38 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     )
     sizes = stage(sizes, "sizes")
     placed = nodes.join(sizes, ["label", "dim"]).select(
-        "label", "dim", "shards", "blocks", "node", "vec", "copies", block("node", F.col("shards"), 1).alias("shard"), block("node", F.col("blocks"), 2).alias("block")
+        "label", "dim", "shards", "blocks", "node", "vec", "copies", block("node", F.col("shards"), 1).alias("home"), block("node", F.col("blocks"), 2).alias("block")
     )
     placed = stage(placed, "placed")
 
-    def build(key, table):
-        graph = Graph(table.column("node").to_numpy(), unit_rows(matrix(table.column("vec"))))
-        copies = dict(zip(table.column("node").to_pylist(), table.column("copies").to_pylist()))
-        exact = unit_rows(matrix(table.column("vec")))[np.argsort(table.column("node").to_numpy())[np.argsort(np.argsort(graph.ids))]]
-        arrays = {"ids": graph.ids, "exact": exact, "copies": np.array([copies[i] for i in graph.ids.tolist()])}
-        for i, (first, neighbours) in enumerate(graph.layers):
-            arrays |= {f"first{i}": first, f"near{i}": neighbours.astype(np.int32)}
-        found = {n: [a.tobytes()] for n, a in arrays.items() if not n[-1].isdigit()}
-        found["layers"] = [[part for i in range(len(graph.layers)) for part in (arrays[f"first{i}"].tobytes(), arrays[f"near{i}"].tobytes())]]
-        found |= {"entry": [int(graph.entry)], "label": [key[0].as_py()], "dim": [key[1].as_py()], "shard": [key[2].as_py()]}
-        kinds = {"label": key[0].type, "dim": pa.int32(), "shard": pa.int32(), "entry": pa.int64(), "layers": pa.list_(pa.binary())}
-        return pa.table({n: pa.array(found[n], kinds.get(n, pa.binary())) for n in ("label", "dim", "shard", "ids", "exact", "copies", "layers", "entry")})
-
-    graph_schema = placed.select("label", "dim", "shard").schema
+    graph_schema = placed.select("label", "dim", F.col("home").alias("shard")).schema
     for name in ("ids", "exact", "copies"):
         graph_schema = graph_schema.add(name, "binary")
     graph_schema = graph_schema.add("layers", T.ArrayType(T.BinaryType())).add("entry", "long")
-    graphs = stage(placed.groupBy("label", "dim", "shard").applyInArrow(build, graph_schema), "graphs")
-
-    def query(left, right):
-        if not len(left) or not len(right):
-            return pa.table({"node": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "other": pa.array([], pa.int64())})
-        graph, exact, copies = _loaded(right.to_pylist()[0])
-        ids, rows = left.column("node").to_numpy(), unit_rows(matrix(left.column("vec")))
-        i, j = audited_links(graph, rows, threshold - SLACK)
-        same = np.einsum("id,id->i", rows[i], exact[j]) >= threshold
-        same &= ids[i] != graph.ids[j]
-        i, j = i[same], j[same]
-        counts = np.bincount(i, weights=copies[j], minlength=len(ids)).astype(np.int64)
-        a, b = local_stars(ids[i], graph.ids[j])
-        return pa.table({"node": np.r_[ids, a], "links": np.r_[counts, np.zeros(len(a), np.int64)], "other": pa.array(np.r_[ids, b])})
+    graphs = stage(placed.withColumnRenamed("home", "shard").groupBy("label", "dim", "shard").applyInArrow(_built, graph_schema), "graphs")
 
-    keys = ["label", "dim", "shard", "block"]
-    asks = spread(placed.select("label", "dim", "block", "shards", "node", "vec"), "shard", F.col("shards")).select(*keys, "node", "vec")
-    meets = spread(graphs.join(sizes.select("label", "dim", "blocks"), ["label", "dim"]), "block", F.col("blocks"))
-    meets = meets.select(*keys, "ids", "exact", "copies", "layers", "entry")
-    found = asks.groupBy(*keys).cogroup(meets.groupBy(*keys)).applyInArrow(query, "node long, links long, other long")
-    found = stage(found, "links")
-
-    counts = found.groupBy("node").agg(F.sum("links").alias("links"))
-    parts = components(found.select(F.col("node").alias("a"), F.col("other").alias("b"))).select("node", "component")
-    whole = nodes.join(counts, "node").join(parts, "node", "left")
-    whole = stage(whole.select("label", "vec", "least", "copies", "links", F.coalesce("component", "node").alias("part")), "vector-parts")
+    asks = spread(placed.drop("blocks"), "shard", F.col("shards")).drop("shards")
+    found = stage(_past_graphs(asks, graphs, sizes, lambda *a: _linked(*a, threshold), FOUND), "found")
+
+    # vectors that a crowd has reached from another shard are compared with the whole of that shard as well
+    marks = found.filter("kind = 'mark'").select(F.col("node").alias("marked"), F.col("shard").alias("at"))
+    sure = found.filter("kind = 'count'").select("node", "shard", "links")
+    marks = marks.distinct().join(sure, (F.col("marked") == F.col("node")) & (F.col("at") == F.col("shard")), "left_anti")
+    marks = stage(marks, "marks")
+    again = placed.drop("blocks", "shards").join(marks, F.col("node") == F.col("marked")).withColumnRenamed("at", "shard").drop("marked")
+    more = stage(_past_graphs(again, graphs, sizes, lambda *a: _counted(*a, threshold), FOUND), "found-again")
+    sure = sure.union(more.filter("kind = 'count'").select("node", "shard", "links"))
+
+    pairs = found.filter("kind = 'pair'")
+    one = pairs.select("node", "shard", "other", F.col("links").alias("copies"))
+    two = pairs.select(F.col("other").alias("node"), F.col("home").alias("shard"), F.col("node").alias("other"), F.col("copies"))
+    either = one.union(two).dropDuplicates(["node", "other"]).join(sure.select("node", "shard"), ["node", "shard"], "left_anti")
+    counts = either.select("node", F.col("copies").alias("links")).union(sure.select("node", "links")).groupBy("node").agg(F.sum("links").alias("links"))
+    stars = found.filter("kind = 'star'").union(more.filter("kind = 'star'")).select(F.col("node").alias("a"), F.col("other").alias("b"))
+    parts = components(stars).select("node", "component")
+    whole = nodes.join(counts, "node", "left").join(parts, "node", "left")
+    whole = whole.select("label", "vec", "least", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "node").alias("part"))
+    whole = stage(whole, "vector-parts")
     names = stage(whole.groupBy("part").agg(F.min("least").alias("name")), "vector-names")
     named = stage(whole.join(names, "part").select("label", "vec", (F.col("links") + F.col("copies") - 1).alias("links"), "name"), "named-vectors")
     linked = live.join(named, ["label", "vec"]).select("id", "links", "name")
@@ -253,6 +258,96 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     )
 
 
+#: What a block finds in a shard. pair: node and other are linked, with the homes and copies of both (`links` of other).
+#: count: all links of node in the shard. mark: node must be compared with all of the shard. star: both are of one component.
+FOUND = "kind string, node long, shard int, home int, copies long, other long, links long"
+
+
+def _rows(kind, node, shard, home=0, copies=0, other=0, links=0):
+    n = len(node)
+
+    def full(x, t):
+        return pa.array(np.broadcast_to(np.asarray(x), n).astype(t))
+
+    arrays = [pa.array([kind] * n, pa.string()), full(node, np.int64), full(shard, np.int32), full(home, np.int32)]
+    arrays += [full(copies, np.int64), full(other, np.int64), full(links, np.int64)]
+    return pa.RecordBatch.from_arrays(arrays, ["kind", "node", "shard", "home", "copies", "other", "links"])
+
+
+def _built(key, table):
+    """The graph of a shard as one row."""
+    ids = table.column("node").to_numpy()
+    rows = unit_rows(matrix(table.column("vec")))
+    graph = Graph(ids, rows)
+    place = np.argsort(ids)[np.searchsorted(np.sort(ids), graph.ids)]
+    layers = [part for first, near in graph.layers for part in (first.tobytes(), near.astype(np.int32).tobytes())]
+    found = {
+        "label": pa.array([key[0].as_py()], key[0].type),
+        "dim": pa.array([key[1].as_py()], pa.int32()),
+        "shard": pa.array([key[2].as_py()], pa.int32()),
+        "ids": pa.array([graph.ids.tobytes()], pa.binary()),
+        "exact": pa.array([rows[place].tobytes()], pa.binary()),
+        "copies": pa.array([table.column("copies").to_numpy()[place].tobytes()], pa.binary()),
+        "layers": pa.array([layers], pa.list_(pa.binary())),
+        "entry": pa.array([int(graph.entry)], pa.int64()),
+    }
+    return pa.table(found)
+
+
+def _past_graphs(asks, graphs, sizes, answer, schema):
+    """`answer(graph, exact, copies, shard, batch)` for every batch of `asks` and the graph of its shard, which comes before the batch."""
+    keys = ["label", "dim", "shard", "block"]
+    parts = ["ids", "exact", "copies", "layers", "entry"]
+    wanted = asks.select(*keys).distinct()
+    meets = graphs.join(wanted, ["label", "dim", "shard"]).select(*keys, F.struct(*parts).alias("graph"))
+    queries = asks.select(*keys, F.struct("node", "vec", F.col("copies").alias("n"), "home").alias("ask"))
+    both = meets.unionByName(queries, allowMissingColumns=True).repartition(*keys).sortWithinPartitions(*keys, F.col("graph").isNull())
+
+    def stream(batches):
+        loaded = None
+        for batch in batches:
+            graph_column, asked = batch.column("graph"), batch.column("ask")
+            heads = np.flatnonzero(np.array(graph_column.is_valid()))
+            edges = [0, *heads.tolist(), batch.num_rows] if not len(heads) or heads[0] else [*heads.tolist(), batch.num_rows]
+            for a, b in zip(edges, edges[1:]):
+                if graph_column[a].is_valid:
+                    loaded = (*_loaded(graph_column[a].as_py()), batch.column("shard")[a].as_py())
+                    a += 1
+                for at in range(a, b, 8192):
+                    yield from answer(*loaded, pa.RecordBatch.from_struct_array(asked.slice(at, min(8192, b - at))))
+
+    return both.mapInArrow(stream, schema)
+
+
+def _linked(graph, exact, copies, shard, asked, threshold):
+    """What a batch of vectors finds in a shard: pairs outside crowds, counts and marks in them, stars."""
+    ids, rows = asked.column("node").to_numpy(), unit_rows(matrix(asked.column("vec")))
+    home, own = asked.column("home").to_numpy(), asked.column("n").to_numpy()
+    i, j, crowded = audited_links(graph, rows, threshold - SLACK)
+    same = (np.einsum("id,id->i", rows[i], exact[j]) >= threshold) & (ids[i] != graph.ids[j])
+    i, j = i[same], j[same]
+    links = np.bincount(i, weights=copies[j], minlength=len(ids)).astype(np.int64)
+    crowd = np.flatnonzero(crowded)
+    yield _rows("count", ids[crowd], shard, links=links[crowd])
+    reached = np.unique(np.stack([graph.ids[j[crowded[i]]], home[i[crowded[i]]].astype(np.int64)], 1), axis=0)
+    yield _rows("mark", reached[:, 0], reached[:, 1])
+    p, q = i[~crowded[i]], j[~crowded[i]]
+    yield _rows("pair", ids[p], shard, home[p], own[p], graph.ids[q], copies[q])
+    a, b = local_stars(ids[i], graph.ids[j])
+    yield _rows("star", a, shard, other=b)
+
+
+def _counted(graph, exact, copies, shard, asked, threshold):
+    """All links of a batch of vectors in a shard, by comparison with every node."""
+    ids, rows = asked.column("node").to_numpy(), unit_rows(matrix(asked.column("vec")))
+    i, j = graph.scan(rows.astype(np.float32), np.arange(len(ids)), threshold - SLACK)
+    same = (np.einsum("id,id->i", rows[i], exact[j]) >= threshold) & (ids[i] != graph.ids[j])
+    i, j = i[same], j[same]
+    yield _rows("count", ids, shard, links=np.bincount(i, weights=copies[j], minlength=len(ids)).astype(np.int64))
+    a, b = local_stars(ids[i], graph.ids[j])
+    yield _rows("star", a, shard, other=b)
+
+
 def _loaded(row):
     graph = Graph.__new__(Graph)
     graph.ids = np.frombuffer(row["ids"], np.int64)

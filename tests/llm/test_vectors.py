@@ -1,6 +1,7 @@
 """Nearest neighbours and near vectors by brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,8 +97,50 @@ def test_graph_recall_and_exact_way():
     assert hits >= 0.9 * 2000
     for layer in range(len(graph.layers)):  # no links: every audit fails
         graph.layers[layer] = (np.zeros(3001, np.int64), np.zeros(0, np.int64))
-    i, j = hnsw.audited_links(graph, unit[:50], 0.3)
-    assert len(i) == (unit[:50].astype(np.float32) @ graph.unit.T >= 0.3).sum()
+    i, j, exact = hnsw.audited_links(graph, unit[:50], 0.3)
+    assert len(i) == (unit[:50].astype(np.float32) @ graph.unit.T >= 0.3).sum() and exact.all()
+
+
+def pairs_and_a_cluster(n_cluster, n_pairs, dim=32):
+    """Nearly equal vectors, and lone pairs at a cosine of 0.945; no other two are near."""
+    draw = np.random.default_rng(6)
+    unit = hnsw.unit_rows(draw.normal(size=(n_pairs + 1, dim)))
+    other = hnsw.unit_rows(draw.normal(size=(n_pairs, dim)))
+    other = hnsw.unit_rows(other - (other * unit[1:]).sum(axis=1)[:, None] * unit[1:])
+    mates = 0.945 * unit[1:] + np.sqrt(1 - 0.945**2) * other
+    cluster = unit[:1] + draw.normal(size=(n_cluster, dim)) * 1e-4
+    return np.concatenate([cluster, unit[1:], mates])
+
+
+@pytest.mark.parametrize("shard_rows, block_rows", [(16384, 131072), (900, 700)])
+def test_links_of_lone_pairs_beside_a_cluster(spark, shard_rows, block_rows):
+    rows = pairs_and_a_cluster(3000, 1500)
+    ids = np.random.default_rng(1).permutation(len(rows))
+    data = [(int(i), r.tolist(), 1) for i, r in zip(ids, rows)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int").repartition(8)
+    got = {r.vec_id: r for r in hnsw.near_vectors(df, shard_rows=shard_rows, block_rows=block_rows).collect()}
+    unit = hnsw.unit_rows(rows)
+    score = unit @ unit.T >= 0.93
+    np.fill_diagonal(score, False)
+    assert [got[int(i)].n_links for i in ids] == score.sum(axis=1).tolist()
+    for a, b in ((3000 + k, 4500 + k) for k in range(1500)):
+        assert got[int(ids[a])].component_id == got[int(ids[b])].component_id == min(ids[a], ids[b])
+    assert {got[int(i)].component_id for i in ids[:3000]} == {int(ids[:3000].min())}
+
+
+def test_a_crowd_counts_for_those_it_reaches():
+    """A query that is compared exactly marks its neighbours for the shard it lies in."""
+    rows = pairs_and_a_cluster(400, 10)
+    graph = hnsw.Graph(np.arange(len(rows)), hnsw.unit_rows(rows))
+    i, j, exact = graph.links(hnsw.unit_rows(rows).astype(np.float32), 0.93, 64)
+    assert exact[:400].all() and not exact[400:].any()
+    assert len(i) == (graph.unit @ graph.unit.T >= 0.93).sum()
+    asked = pa.RecordBatch.from_pydict({"node": list(range(400, 402)), "vec": rows[[0, 400]].tolist(), "n": [1, 1], "home": [7, 8]})
+    found = [b for b in hnsw._linked(graph, hnsw.unit_rows(rows)[graph.ids], np.ones(len(rows), np.int64), 3, asked, 0.93)]
+    kinds = {b.column("kind")[0].as_py(): b for b in found if b.num_rows}
+    assert set(kinds) == {"count", "mark", "pair", "star"}
+    assert set(kinds["mark"].column("shard").to_pylist()) == {7} and kinds["mark"].num_rows == 400
+    assert kinds["pair"].to_pylist()[0] | {"kind": "", "links": 1} == {"kind": "", "node": 401, "shard": 3, "home": 8, "copies": 1, "other": kinds["pair"].to_pylist()[0]["other"], "links": 1}
 
 
 def test_usable(spark):
