@@ -29,7 +29,7 @@ def test_pipeline(spark):
     assert known.columns == docs.columns and known.count() == docs.count()  # all documents have letters
     lined = stages["line dedup"](spark, known, FOLDER)
     assert lined.columns == docs.columns and lined.filter(F.length("text") != F.col("n_chars")).count() == 0
-    single = stages["SimHash near-dedup"](spark, lined, FOLDER)
+    single = stages["near-dedup"](spark, lined, FOLDER)
     rows = {r.doc_id: cases.brute_set(r.text) for r in lined.collect()}
     part = cases.groups(sorted(rows), lambda a, b: cases.alike(rows[a], rows[b]))
     assert sorted(r.doc_id for r in single.collect()) == sorted(set(part.values()))

@@ -35,7 +35,7 @@ def test_edited_copies_go(spark):
     sets = [brute_set(t) for t in texts]
     part = cases.groups(range(len(texts)), lambda a, b: alike(sets[a], sets[b]))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    kept = dict(corpus_pipeline.STAGES)["SimHash near-dedup"](spark, docs, FOLDER)
+    kept = dict(corpus_pipeline.STAGES)["near-dedup"](spark, docs, FOLDER)
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(part.values()))
     assert len(set(part.values())) < simhash.keep_one(docs).count() / 1.5  # the rule of 2 bits leaves most copies
 
