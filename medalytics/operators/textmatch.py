@@ -52,47 +52,71 @@ def mentions(hay: DataFrame, needles: DataFrame, text: str, needle_id: str, name
     So rows meet by equal words, and `contains` only confirms them. Names, anchors and the pairs to confirm are
     written and broadcast where they are small, so texts are then not shuffled.
     """
-    listed = needles.select(F.col(needle_id), F.explode(F.array(*names)).alias("__name")).filter(F.trim("__name") != "").distinct()
+    rows = text_rows(hay, text, keep)
+    words = row_words(rows)
+    by_word = lambda wanted: join_lookup(words, wanted.select("__word").distinct(), ["__word"], "inner")
+    by_gram = lambda wanted: word_grams(words.select("__word").distinct())
+    return confirmed(rows, by_word, by_gram, needles, needle_id, names, keep)
+
+
+def text_rows(hay: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """`keep`, the text and the digest of both as the row's name; null texts go."""
     own = F.unhex(F.md5(F.concat(F.to_json(F.struct(*keep), {"ignoreNullFields": "false"}), F.col(text))))
-    rows = hay.filter(F.col(text).isNotNull()).select(*keep, F.col(text).alias("__text"), own.alias("__row"))
-    words = rows.select("__row", F.explode(F.array_distinct(F.split("__text", " "))).alias("__word"))
+    return hay.filter(F.col(text).isNotNull()).select(*keep, F.col(text).alias("__text"), own.alias("__row"))
+
+
+def row_words(rows: DataFrame) -> DataFrame:
+    """The different words of every row, cut at single spaces."""
+    return rows.select("__row", F.explode(F.array_distinct(F.split("__text", " "))).alias("__word"))
+
 
+def word_grams(spelled: DataFrame) -> DataFrame:
+    """The different grams of one to three letters of every word."""
+
+    def grams_of(n):
+        return F.transform(F.sequence(F.lit(1), F.length("__word")), lambda i: F.substr("__word", i, F.lit(n)))
+
+    grams = F.flatten(F.array(*[grams_of(n) for n in (1, 2, 3)]))
+    return spelled.filter("__word <> ''").select("__word", F.explode(F.array_distinct(grams)).alias("__gram"))
+
+
+def confirmed(rows: DataFrame, by_word, by_gram, needles: DataFrame, needle_id: str, names: list[str], keep: list[str]) -> DataFrame:
+    """The pairs of `mentions`, given the rows and ways to the (row, word) of wanted words and the (word, gram) of wanted grams."""
+    listed = needles.select(F.col(needle_id), F.explode(F.array(*names)).alias("__name")).filter(F.trim("__name") != "").distinct()
     parts = F.split("__name", " ")
     inner = F.filter(F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0))), lambda w: w != "")
     cut = listed.select("__name").distinct().select("__name", parts.alias("__parts"), inner.alias("__inner"))
     exact = cut.select("__name", F.explode("__inner").alias("__word"))
-    met = store(join_lookup(words, exact.select("__word").distinct(), ["__word"], "inner"), "name-words").df
+    met = store(by_word(exact), "name-words").df
     common = met.groupBy("__word").agg(F.count(F.lit(1)).alias("__n"))
     anchors = exact.join(common, "__word").groupBy("__name").agg(F.min_by("__word", "__n").alias("__word"))
     held = join_lookup(met, anchors, ["__word"], "inner")
     loose = cut.filter(F.size("__inner") == 0)
     if not loose.isEmpty():
-        parts_found = _loose_anchors(loose, words.select("__word").distinct())
-        held = held.unionByName(join_lookup(words, parts_found, ["__word"], "inner"))
+        parts_found = _loose_anchors(loose, by_gram)
+        held = held.unionByName(join_lookup(by_word(parts_found), parts_found, ["__word"], "inner"))
     held = held.select("__row", "__name").distinct()
     found = join_lookup(rows, held, ["__row"], "inner").filter(F.contains("__text", "__name"))
     pairs = join_lookup(found, listed, ["__name"], "inner").select(*keep, needle_id)
     return pairs.distinct() if len(names) > 1 else pairs
 
 
-def _loose_anchors(names: DataFrame, spelled: DataFrame) -> DataFrame:
+def _loose_anchors(names: DataFrame, by_gram) -> DataFrame:
     """For names without an inner word all words that contain their longest part, found by its first three letters."""
-
-    def grams_of(n):
-        return F.transform(F.sequence(F.lit(1), F.length("__word")), lambda i: F.substr("__word", i, F.lit(n)))
-
-    grams = F.flatten(F.array(*[grams_of(n) for n in (1, 2, 3)]))
     longest = F.array_max(F.transform("__parts", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
     wanted = names.select("__name", longest.alias("__part")).withColumn("__gram", F.substring("__part", 1, 3))
-    spelled = spelled.filter("__word <> ''").select("__word", F.explode(F.array_distinct(grams)).alias("__gram"))
-    return wanted.join(spelled, "__gram").filter(F.contains("__word", "__part")).select("__name", "__word")
+    return wanted.join(by_gram(wanted), "__gram").filter(F.contains("__word", "__part")).select("__name", "__word")
 
 
 def mention_timeline(
     hay: DataFrame, row_id: str, ts: str, text: str, needles: DataFrame, needle_id: str, names: list[str]
 ) -> DataFrame:
     """First and last mention, mentions and days between, for every needle; needles without one are kept."""
-    found = mentions(hay, needles, text, needle_id, names, [row_id, ts])
+    return timeline(mentions(hay, needles, text, needle_id, names, [row_id, ts]), ts, needles, needle_id)
+
+
+def timeline(found: DataFrame, ts: str, needles: DataFrame, needle_id: str) -> DataFrame:
+    """First and last time, number and days between of the pairs found, for every needle."""
     spans = found.groupBy(needle_id).agg(
         F.min(ts).alias("first_at"), F.max(ts).alias("last_at"), F.count(F.lit(1)).alias("n_mentions")
     )

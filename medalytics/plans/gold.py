@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions.scratch import new_path, store
-from ..operators import anomaly, calendar_ops, engagement, groups, keys, states, textmatch
+from ..operators import anomaly, calendar_ops, engagement, groups, keys, states, textindex, textmatch
 from . import fixtures as X
 from .registry import query, r6
 
@@ -531,6 +531,25 @@ def doc_day():
     return F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 365).cast("int"))
 
 
+@query(
+    "mention_index",
+    f"""WITH m AS (SELECT d.doc_id, b.item_id, {DOC_DAY_SQL} AS day FROM documents d JOIN benchmark b ON contains(d.text, b.text))
+SELECT b.item_id, count(day) AS n_mentions, count(DISTINCT doc_id) AS n_docs, min(day) AS first_at, max(day) AS last_at, CAST(max(day) - min(day) AS INT) AS days
+FROM benchmark b LEFT JOIN m USING (item_id) GROUP BY b.item_id""",
+)
+def mention_index(spark, d):
+    """Pairs and their timeline from one stored index, which two increments have filled, the second one twice."""
+    docs, items = mentioned(spark, d)
+    path, rows = new_path(spark, "text-index"), docs.withColumn("day", doc_day())
+    late = F.col("source") > "src3"
+    for name, part in (("first", rows.filter(~late)), ("second", rows.filter(late)), ("second", rows.filter(late))):
+        textindex.add(part, "text", ["doc_id", "day"], path, name)
+    pairs = store(textindex.mentions(spark, path, items, "item_id", ["name"], ["doc_id", "day"]), "pairs").df
+    spans = textmatch.timeline(pairs, "day", items, "item_id")
+    counts = pairs.groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_docs"))
+    return spans.join(counts, "item_id", "left").fillna(0, ["n_docs"]).select("item_id", "n_mentions", "n_docs", "first_at", "last_at", "days")
+
+
 @query(
     "mention_timeline",
     f"""WITH m AS (SELECT b.item_id, {DOC_DAY_SQL} AS day FROM documents d JOIN benchmark b ON contains(d.text, b.text))

@@ -3,7 +3,7 @@
 import random
 
 from medalytics.functions import fixed_values as V
-from medalytics.operators import textmatch
+from medalytics.operators import textindex, textmatch
 
 
 def test_themes_fold_accented_capitals(spark):
@@ -40,6 +40,31 @@ def test_mentions_by_brute_force(spark):
     assert {(r["i"], r["j"]) for r in got} == want and len(got) == len(want)
 
 
+def test_an_index_of_increments_finds_what_a_scan_finds(spark, tmp_path):
+    rng = random.Random(10)
+    texts = [(i, "".join(rng.choice("abç ") for _ in range(rng.randrange(0, 60)))) for i in range(150)] + [(500, None), (501, ""), (502, "plain words here")]
+    names = [(j, "".join(rng.choice("abç") for _ in range(rng.randrange(1, 5))), rng.choice(["", None, "a b", "a b ç", "b a ", "ab ç a b"])) for j in range(40)]
+    hay = spark.createDataFrame(texts, "i int, t string")
+    needles, path = spark.createDataFrame(names, "j int, a string, b string"), str(tmp_path / "index")
+    for n, part in enumerate((hay.filter("i < 60"), hay.filter("i >= 60"), hay.filter("i >= 60"))):
+        textindex.add(part, "t", ["i"], path, str(min(n, 1)))
+        upto = hay.filter("i < 60") if n == 0 else hay
+        got = sorted(map(tuple, textindex.mentions(spark, path, needles, "j", ["a", "b"], ["i"]).collect()))
+        assert got == sorted(map(tuple, textmatch.mentions(upto, needles, "t", "j", ["a", "b"], ["i"]).collect())) and got
+    none = textindex.mentions(spark, path, needles.filter("j < 0"), "j", ["a", "b"], ["i"])
+    assert none.columns == ["i", "j"] and none.count() == 0
+
+
+def test_a_search_reads_the_buckets_of_its_words(spark, tmp_path):
+    path = str(tmp_path / "index")
+    hay = spark.range(300).selectExpr("id AS i", "concat('x word', id, ' y') AS t")
+    assert textindex.add(hay, "t", ["i"], path, "one") == 300
+    found = textindex._in_buckets(spark, f"{path}/words", spark.createDataFrame([("word7",)], "__word string"), "__word")
+    assert found.count() == 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_mentions_without_names(spark):
     hay = spark.createDataFrame([(1, "x")], "i int, t string")
     none = spark.createDataFrame([(1, None)], "j int, a string")
