@@ -6,10 +6,12 @@ import re
 from bisect import bisect_right
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shared import stage
+
 #: The patterns asked for and the shortest match of each.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -226,14 +228,19 @@ def scan_text(data: bytes, min_bits: float = 40.0, words: Words = SEED_WORDS):
 
 
 def learned_words(docs: DataFrame, text_col: str = "text", max_words: int = 20_000) -> Words:
-    """The seed words, and after them the `max_words` most frequent words of all texts (3 to 24 letters a-z, in either case).
+    """The seed words, and after them the most frequent words of all texts (3 to 24 letters a-z, in either case), `max_words` at most.
 
-    Words are counted over all rows by partial aggregates; only the most frequent come to the driver, ties by
-    the word.
+    Words are counted over all rows by partial aggregates; a count is chosen that no more than `max_words` words
+    reach, so those alone come to the driver, and words of one count are taken or left together.
     """
     found = docs.select(F.explode(F.regexp_extract_all(F.lower(text_col), F.lit("(?<![a-z])[a-z]{3,24}(?![a-z])"), F.lit(0))).alias("word"))
-    most = found.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "word").limit(max_words)
-    return Words([*WORDS, *[r["word"] for r in most.collect()]])
+    counts = stage(found.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "word-counts")
+    # one line per count that occurs, and these are few, as large counts are rare
+    steps = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
+    upto = steps.withColumn("upto", F.sum("words").over(Window.orderBy(F.col("n").desc())))
+    least = upto.filter(F.col("upto") <= max_words).agg(F.min("n")).first()[0]
+    most = counts.filter(F.col("n") >= F.lit(least)).collect()
+    return Words([*WORDS, *[r["word"] for r in sorted(most, key=lambda r: (-r["n"], r["word"]))]])
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bits: float = 40.0, words: Words = SEED_WORDS) -> DataFrame:

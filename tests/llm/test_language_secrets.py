@@ -1,11 +1,13 @@
 """Languages by held-out accuracy, secrets by plain patterns and a plain dynamic program."""
 
 import hashlib
+import math
 import re
 import zlib
 
 import numpy as np
 
+import pytest
 import cases
 from medalytics.llm import catalog, langid, secretscan
 
@@ -88,3 +90,56 @@ def test_guess_costs():
     # without structure every character is guessed alone
     plain = "xqzjkvbw"
     assert abs(bits(plain) - sum(secretscan._char_bits(c) for c in plain)) < 1e-9
+
+
+def plain_mixture(text, log_p, rounds=20):
+    """The same mixture for one text, written out: proportions by EM over segments, languages dropped while the penalised likelihood gains."""
+    clean = langid.cleaned(text)
+    data = np.frombuffer(clean, np.uint8)
+    gram = langid.trigrams(data)
+    count = len(data) - 2
+    segments = [gram[a : min(a + langid.SEGMENT, count)] for a in range(0, count, langid.SEGMENT)]
+    likely = [[float(sum(float(p[g]) for g in s)) for p in log_p] for s in segments]
+
+    def fit(share, rounds):
+        for _ in range(rounds):
+            sums = [0.0] * len(share)
+            for line in likely:
+                top = max(line)
+                weight = [math.exp(max(x - top, -600)) * q for x, q in zip(line, share)]
+                sums = [s + w / sum(weight) for s, w in zip(sums, weight)]
+            new = [s / len(likely) for s in sums]
+            change = max(abs(a - b) for a, b in zip(new, share))
+            share = new
+            if change < 1e-4:
+                break
+        total = sum(max(x) + math.log(sum(math.exp(max(y - max(x), -600)) * q for y, q in zip(x, share))) for x in likely)
+        return share, total
+
+    share, total = fit([1 / len(log_p)] * len(log_p), rounds)
+    active = [True] * len(share)
+    for _ in range(len(share) - 1):
+        weakest = min((i for i in range(len(share)) if active[i]), key=lambda i: share[i])
+        less = [a and i != weakest for i, a in enumerate(active)]
+        start = [s + 1e-6 if a else 0.0 for s, a in zip(share, less)]
+        trial, trial_total = fit([s / sum(start) for s in start], rounds // 2)
+        if trial_total < total - 0.5 * math.log(len(likely) + 1):
+            break
+        share, total, active = trial, trial_total, less
+    return share
+
+
+def test_mixtures_equal_the_plain_expectation_maximisation(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.learned_from(docs)
+    by_lang = {}
+    for r in docs.filter("text IS NOT NULL").orderBy("doc_id").limit(120).collect():
+        by_lang.setdefault(r.lang, []).append(r.text[:600])
+    some = [t.lower().encode() for texts in by_lang.values() for t in texts[:4]]
+    langs = sorted(by_lang, key=str)
+    some += [(by_lang[a][0][:n] + " " + by_lang[b][0][:m]).lower().encode() for a in langs for b in langs if a != b for n, m in ((400, 100), (60, 300))]
+    some += [b"a", b"ok", b"x y z"]
+    found = langid.mixtures(some, model.log_p)
+    for text, share in zip(some, found):
+        assert share == pytest.approx(plain_mixture(text, model.log_p), abs=1e-3), text[:40]
+    assert (found.max(axis=1) < 0.95).any()  # mixtures are among them
