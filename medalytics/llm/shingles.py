@@ -3,7 +3,8 @@
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,21 +117,40 @@ def similar(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.n
 def candidates(rows: DataFrame, similarity: float) -> DataFrame:
     """(fp, component): different sets that share a band, and whose sizes allow the similarity, are in one component.
 
-    Rows of a band are sorted by size and follow one another as a chain, so no list of a band's sets is made.
+    Rows are ranged by band, size and set, so a band that very many sets have lies in several tasks. In a band
+    they follow one another as a chain, also from the last row of a range to the first of the next, which one line
+    per end of a range tells; no list of a band's sets is made.
     """
     nodes = rows.filter("n > 0").select("fp", "n", "bands").dropDuplicates(["fp"])
-    filed = nodes.select(F.explode("bands").alias("band"), "fp", "n").repartition("band").sortWithinPartitions("band", "n", "fp")
+    filed = nodes.select(F.explode("bands").alias("band"), "fp", "n")
+    filed = filed.repartitionByRange("band", "n", "fp").sortWithinPartitions("band", "n", "fp")
 
     def chains(batches):
-        before = [np.zeros(0, np.int64)] * 3
+        before, place, first = [np.zeros(0, np.int64)] * 3, TaskContext.get().partitionId(), None
+
+        def end(row, side):
+            columns = [pa.array([x], pa.int64()) for x in (row[1], row[1], row[0], row[2], 2 * place + side)]
+            return pa.RecordBatch.from_arrays(columns, ["a", "b", "band", "n", "place"])
+
         for batch in batches:
             band, fp, n = (np.r_[x, c.to_numpy()] for x, c in zip(before, batch.columns))
             near = (band[1:] == band[:-1]) & (fp[1:] != fp[:-1]) & (n[:-1] / n[1:] >= similarity)
             node, root = local_stars(fp[:-1][near], fp[1:][near])
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)], ["a", "b"])
+            nothing = pa.nulls(len(node), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(root), nothing, nothing, nothing], ["a", "b", "band", "n", "place"])
+            if first is None and len(band):
+                first = [band[0], fp[0], n[0]]
+                yield end(first, 0)
             before = [x[-1:] for x in (band, fp, n)]
-
-    parts = stage(components(filed.mapInArrow(chains, "a long, b long")), "candidates")
+        if first is not None:
+            yield end([x[0] for x in before], 1)
+
+    linked = stage(filed.mapInArrow(chains, "a long, b long, band long, n long, place long"), "chains")
+    # two lines per range, so this window sees few
+    ends = linked.filter("place IS NOT NULL").select("*", F.lead(F.struct("a", "band", "n", "place")).over(Window.orderBy("place")).alias("next"))
+    crossing = ends.filter((F.col("place") % 2 == 1) & (F.col("next.band") == F.col("band")) & (F.col("n") / F.col("next.n") >= similarity))
+    links = linked.filter("place IS NULL").select("a", "b").union(crossing.select("a", F.col("next.a").alias("b")))
+    parts = stage(components(links), "candidates")
     return parts.select(F.col("node").alias("fp"), "component").union(parts.select(F.col("component").alias("fp"), "component").distinct())
 
 
@@ -148,7 +168,7 @@ def similar_links(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str,
     large = stage(sizes.select("component", cut.alias("cut")).filter("cut > 1"), "large-candidates")
     total = members.agg(F.sum("n")).first()[0] or 0
     units = max(256, -(-total // most_shingles))
-    placed = members.join(F.broadcast(large), "component", "left").withColumn("part", F.pmod(F.xxhash64("fp"), F.col("cut")).cast("int"))
+    placed = members.join(large, "component", "left").withColumn("part", F.pmod(F.xxhash64("fp"), F.col("cut")).cast("int"))
     whole = F.col("cut").isNull()
     placed = placed.select(
         "id", "body", "fp", "component", "part", F.coalesce("cut", F.lit(0)).alias("cut"),

@@ -93,3 +93,19 @@ def test_awkward_documents_by_similarity(spark):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(least.values()))
     assert simhash.keep_one(cases.empty(spark), words=5, similarity=0.8).count() == 0
     assert kept.filter(F.col("doc_id").isNull()).count() == 0
+
+
+def test_a_band_in_several_ranges_is_one_chain(spark):
+    """Every set has the same bands, so one band's rows lie in many ranges and the chain must cross them."""
+    rows = spark.range(500).select(
+        F.col("id").alias("fp"), (F.lit(1000) + F.col("id") % 50).alias("n"), F.array(F.lit(7).cast("long"), F.lit(8).cast("long")).alias("bands")
+    )
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = shingles.candidates(rows, 0.8).collect()
+        apart = shingles.candidates(rows.withColumn("n", F.when(F.col("fp") < 250, 10).otherwise(1000).cast("long")), 0.8).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert sorted(r.fp for r in found) == list(range(500)) and {r.component for r in found} == {0}
+    assert {r.component for r in apart} == {0, 250} and len(apart) == 500
