@@ -444,3 +444,38 @@ def schema_union(spark, d):
     record = F.to_json(F.struct("conv_id", "turn", role.alias("role"), size.alias("size"), "text"))
     found = pages.with_merged_schema(talk.select(record.alias("record")))
     return found.select("conv_id", F.col("turn").cast(talk.schema["turn"].dataType), "role", "size", "text")
+
+
+@query("sql_scan", "SELECT event_type, count(*) AS n, max(event_id) AS last_id FROM events WHERE value > 50 AND event_type <> 'view' GROUP BY event_type")
+def sql_scan(spark, d):
+    """SQL text over a DataFrame, with bound values."""
+    text = "SELECT event_type, count(*) AS n, max(event_id) AS last_id FROM {rows} WHERE value > :low AND event_type <> :skip GROUP BY event_type"
+    return tables.sql_over(spark, text, {"low": 50, "skip": "view"}, rows=X.table(spark, d, "events"))
+
+
+@query(
+    "load_modes",
+    """SELECT mode, e.event_id, e.event_type FROM events e LEFT JOIN control c ON e.event_type = c.endpoint, (VALUES ('full'), ('incremental')) m(mode)
+WHERE mode = 'full' OR c.last_value IS NULL OR e.event_id > CAST(c.last_value AS BIGINT)""",
+    "control",
+)
+def load_modes(spark, d):
+    """Every endpoint loaded in full, as its table is missing, and after its watermark, as the table is there."""
+    events, marks = X.table(spark, d, "events"), X.control(spark, d)
+    events.createOrReplaceTempView("medalytics_landed_events")
+    found = []
+    for table, mode in (("medalytics_missing_events", "full"), ("medalytics_landed_events", "incremental")):
+        rows = tables.first_available(spark, [table, "medalytics_landed_events"])
+        full = incremental.is_full_load(spark, table, incremental.watermark_get(marks, "click"))
+        rows = rows if full else incremental.newer_than_each(rows.withColumnRenamed("event_type", "endpoint"), marks, "endpoint", "event_id").withColumnRenamed("endpoint", "event_type")
+        found.append(rows.select(F.lit(mode).alias("mode"), "event_id", "event_type"))
+    return merge.concat_batches(found)
+
+
+@query("gold_table", "SELECT event_type, count(*) AS n_events, count(DISTINCT user_id) AS n_users, true AS is_stamped FROM events GROUP BY event_type")
+def gold_table(spark, d):
+    """A gold table written with its processing time and read back."""
+    path, events = new_path(spark, "gold"), X.table(spark, d, "events")
+    totals = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_events"), F.countDistinct("user_id").alias("n_users"))
+    tables.run_step("events_by_type", lambda: totals, path)
+    return spark.read.parquet(path).select("event_type", "n_events", "n_users", F.col("_processed_at").isNotNull().alias("is_stamped"))

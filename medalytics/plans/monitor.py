@@ -221,6 +221,21 @@ def stream_new_rows(spark, d):
     return spark.read.parquet(run_stream(spark, d)[0]).select("event_id", "user_id", "event_type", "value")
 
 
+@query("stream_restart", "SELECT event_id, user_id, event_type, value FROM events")
+def stream_restart(spark, d):
+    """The stream in three runs: what had landed, the rest with old rows again, and nothing new."""
+    landed, out, alerts, sla, checkpoint = (new_path(spark, t) for t in ("landed", "rows", "alerts", "sla", "offsets"))
+    events = X.table(spark, d, "events")
+    early = F.col("ts") < F.expr("TIMESTAMP_NTZ'2024-01-15 00:00:00'")
+    for part in (events.filter(early), events.filter(~early | (F.col("event_type") == "error")), None):
+        if part is not None:
+            part.write.mode("append").parquet(f"{landed}/events.parquet")
+        rows = stream.new_rows(stream.file_stream(spark, landed, "events", 8), "event_id", "ts")
+        rows = textmatch.urgency(rows, "event_type", STREAM_TIERS)
+        stream.write_with_alerts(rows, out, alerts, sla, checkpoint, key="event_id").awaitTermination()
+    return spark.read.parquet(out).select("event_id", "user_id", "event_type", "value")
+
+
 @query(
     "stream_alerts",
     "SELECT event_id, event_type, CASE event_type WHEN 'error' THEN 'CRITICA' ELSE 'ALTA' END AS urgency FROM events WHERE event_type IN ('error', 'click')",

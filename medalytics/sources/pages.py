@@ -1,5 +1,7 @@
 """Landed API pages: JSON envelopes {dados: [...] or {...}, links: [{rel}]}."""
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,7 +114,9 @@ def merged_schema(records: DataFrame, value: str = "record") -> T.StructType:
     merged = records.select(F.schema_of_variant_agg(F.when(F.schema_of_variant(parsed).startswith("OBJECT<"), parsed)).alias("s")).first()["s"]
     if not merged.startswith("OBJECT<") or merged == "OBJECT<>":
         return T.StructType()
-    text = merged.replace("OBJECT<", "STRUCT<").replace("VARIANT", "STRING").replace("VOID", "STRING")
+    kinds = {"OBJECT": "STRUCT", "VARIANT": "STRING", "VOID": "STRING"}
+    # names stand in backticks or before a colon, and stay
+    text = re.sub(r"`(?:[^`]|``)*`|\b(OBJECT(?=<)|VARIANT(?!:)|VOID(?!:))", lambda m: kinds[m[1]] if m[1] else m[0], merged)
     found = records.sparkSession.sql(f"SELECT from_json(NULL, '{text.replace(chr(39), chr(92) + chr(39))}') AS r").schema["r"].dataType
     return T.StructType(sorted(found.fields, key=lambda f: f.name))
 
@@ -126,5 +130,12 @@ def with_merged_schema(records: DataFrame, value: str = "record", schema: T.Stru
     schema = merged_schema(records, value) if schema is None else schema
     others = [c for c in records.columns if c != value]
     parsed = records.select(*others, F.try_parse_json(value).alias("__v"))
-    keys = [F.try_variant_get("__v", "$['" + f.name.replace("'", "\\'") + "']", f.dataType.simpleString()).alias(f.name) for f in schema.fields]
+    keys = [F.try_variant_get("__v", _path(f.name), f.dataType.simpleString()).alias(f.name) for f in schema.fields]
     return parsed.select(*others, *keys)
+
+
+def _path(name: str) -> str:
+    """The path of a key; one that has both kinds of quotes can't be named in a path."""
+    if "'" in name and '"' in name:
+        raise ValueError(f"a key with both kinds of quotes: {name}")
+    return f'$["{name}"]' if "'" in name else f"$['{name}']"

@@ -19,9 +19,9 @@ LEDGER_SCHEMA = T.StructType(
 
 
 def planned_steps(units: DataFrame, step: str) -> DataFrame:
-    """Steps of a plan with the number and an order-free digest of their units, so that a changed plan is told apart."""
+    """Steps of a plan with the number and an order-free digest of their units, so that a changed plan is told apart; a null is no step."""
     others = sorted(c for c in units.columns if c != step)
-    return units.groupBy(step).agg(F.count(F.lit(1)).alias("n_units"), F.bit_xor(F.xxhash64(*others)).alias("units_digest"))
+    return units.filter(F.col(step).isNotNull()).groupBy(step).agg(F.count(F.lit(1)).alias("n_units"), F.bit_xor(F.xxhash64(*others)).alias("units_digest"))
 
 
 def ledger(spark: SparkSession, path: str, step: T.StructField) -> DataFrame:
@@ -63,8 +63,9 @@ def load(
 
 def _clear(spark: SparkSession, path: str, step: str, some: list) -> None:
     """Remove what an unfinished attempt left of steps that may have no rows any more."""
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
     for name in some:
-        files, old = tables._files(spark, f"{path}/rows/{step}={name}")
+        files, old = tables._files(spark, f"{path}/rows/{step}={escaped(str(name))}")
         files.delete(old, True)
 
 

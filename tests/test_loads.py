@@ -81,6 +81,18 @@ def test_a_changed_plan_loads_its_changed_steps(spark, tmp_path):
     assert [(r.month, r.n_units, r.n_rows) for r in lines] == [("2024-01", 4, 6), ("2024-02", 5, 15), ("2024-03", 4, 6), ("2024-04", 4, 6)]
 
 
+def test_steps_of_any_text(spark, tmp_path, monkeypatch):
+    plan, path = spark.createDataFrame([("a:b/c", 2), ("x=y %", 1), (None, 3)], "month string, member int"), str(tmp_path / "load")
+    whole = resume.finish
+    monkeypatch.setattr(resume, "finish", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        resume.load(plan, "month", Source(), path)
+    monkeypatch.setattr(resume, "finish", whole)
+    none = lambda some: Source()(some).filter("false")
+    assert resume.load(plan, "month", none, path) == 2 and loaded(spark, path, plan) == []
+    assert spark.read.schema(Source()(plan).schema).parquet(f"{path}/rows").count() == 0  # what the first attempt left is gone
+
+
 def test_a_step_without_rows_is_finished(spark, tmp_path):
     plan, path = units(spark, 2, 1), str(tmp_path / "load")
     assert resume.load(plan, "month", Source(), path) == 2 and resume.load(plan, "month", Source(), path) == 0
@@ -200,6 +212,9 @@ def test_late_keys_become_columns(spark):
     assert [float(rows[i].a) if rows[i].a is not None else None for i in (0, 1, 3)] == [1.0, 2.5, None]
     assert rows[1].b == "x" and rows[3].b == "7" and rows[2]["odd key"] is True and list(rows[2].c.d) == [1, 2]
     assert all(rows[i][c] is None for i in (4, 5, 6, 7) for c in found.columns[1:])
+    odd = spark.createDataFrame([('{"VOID": 1, "it\'s": "OBJECT<", "VARIANT x": [1], "n": null, "mix": 1}',), ('{"mix": "a"}',)], "record string")
+    rows = sorted((r.VOID or 0, r["it's"], r["VARIANT x"], r.n, r.mix) for r in pages.with_merged_schema(odd).collect())
+    assert rows == [(0, None, None, None, "a"), (1, "OBJECT<", [1], None, "1")]
     assert pages.with_merged_schema(df.limit(0)).columns == ["i"] and pages.with_merged_schema(df.filter("i > 3")).columns == ["i"]
 
 
