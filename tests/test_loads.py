@@ -23,7 +23,7 @@ class Source:
         self.fetched, self.broken = [], None
 
     def __call__(self, some):
-        months = sorted(r.month for r in some.select("month").distinct().collect())
+        months = sorted(r.month for r in some.dropna().select("month").distinct().collect())
         self.fetched += months
         if self.broken in months:
             raise OSError("lost")
