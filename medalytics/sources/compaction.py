@@ -38,7 +38,7 @@ def packed(files: DataFrame, target_bytes: int, small_share: float = 0.75) -> Da
 def compact(
     spark: SparkSession, path: str, target_bytes: int = 256 << 20, small_share: float = 0.75, sort_by: list[str] | None = None
 ) -> dict:
-    """Join the small files of the table at `path` in place; how many files went and how many came.
+    """Join the small files of the table at `path` in place; how many files went and how many came. Files without rows stay.
 
     Each bin is read and written by one task, sorted by `sort_by` if given. The new files and the list of the old
     ones are prepared aside; then a marker is set, old files go and new ones are moved in. A run that stops
@@ -47,14 +47,16 @@ def compact(
     """
     complete(spark, path)
     journal = f"{path.rstrip('/')}/{JOURNAL}"
-    bins = store(packed(data_files(spark, path), target_bytes, small_share), "bins")
-    if not bins.rows:
-        return {"removed": 0, "added": 0}
     base = spark.read.parquet(path)
     columns = base.columns
-    limit = int(target_bytes * small_share)
-    # the files' sizes and paths are known to the scan, so large files are not opened
-    rows = base.select(*columns, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_size").alias("__size")).filter(F.col("__size") < limit)
+    # the files' sizes and paths are known to the scan, so large files are not opened, and files are named as it names them
+    rows = base.select(*columns, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_size").alias("__size"))
+    rows = rows.filter(F.col("__size") < int(target_bytes * small_share))
+    small = rows.groupBy(F.col("__file").alias("file"), F.col("__size").alias("bytes")).agg(F.count(F.lit(1)).alias("n")).drop("n")
+    small = small.withColumn("folder", F.regexp_replace("file", "/[^/]*$", ""))
+    bins = store(packed(small, target_bytes, small_share), "bins")
+    if not bins.rows:
+        return {"removed": 0, "added": 0}
     named = bins.df.select(F.col("file").alias("__file"), F.sha1(F.concat_ws("|", "folder", F.col("bin").cast("string"))).alias("__bin"), "folder")
     met = join_lookup(rows, store(named.select("__file", "__bin"), "named-bins"), ["__file"], "inner").drop("__file", "__size")
     count = bins.df.select("folder", "bin").distinct().count()
@@ -76,16 +78,21 @@ def _partition_columns(spark: SparkSession, path: str) -> list[str]:
     return [part.split("=", 1)[0] for part in inside.split("/")[:-1] if "=" in part]
 
 
+def _named(spark: SparkSession, uri: str):
+    """The path that a scan gives as a URI, in which signs of partition values are encoded."""
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+
+
 def complete(spark: SparkSession, path: str) -> None:
     """Finish a compaction that has its marker, and forget one that has not."""
     journal = f"{path.rstrip('/')}/{JOURNAL}"
     files, marker = tables._files(spark, f"{journal}/READY")
     if files.exists(marker):
         for row in spark.read.parquet(f"{journal}/old").toLocalIterator():
-            files.delete(tables._files(spark, row["file"])[1], False)
+            files.delete(_named(spark, row["file"]), False)
         for row in spark.read.parquet(f"{journal}/places").toLocalIterator():
             staged = tables._files(spark, f"{journal}/new/__bin={row['__bin']}")[1]
             for made in files.listStatus(staged) if files.exists(staged) else []:
                 if made.getPath().getName().endswith(".parquet"):
-                    files.rename(made.getPath(), tables._files(spark, f"{row['folder']}/compact-{uuid.uuid4().hex}.parquet")[1])
+                    files.rename(made.getPath(), _named(spark, f"{row['folder']}/compact-{uuid.uuid4().hex}.parquet"))
     files.delete(tables._files(spark, journal)[1], True)

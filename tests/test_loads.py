@@ -150,6 +150,17 @@ def test_a_stopped_compaction_is_completed_or_forgotten(spark, tmp_path, monkeyp
     assert sorted(map(tuple, spark.read.parquet(path).select("id", "text", "p").collect())) == rows
 
 
+def test_partitions_of_any_name_are_compacted(spark, tmp_path):
+    path = str(tmp_path / "a b=c")
+    names = F.array(*[F.lit(x) for x in ("x y", "a:b%c", "d/e=f", "ü")])
+    rows = spark.range(400).select("id", F.element_at(names, (F.col("id") % 4 + 1).cast("int")).alias("p"))
+    rows.repartition(12).write.partitionBy("p").parquet(path)
+    before = files(path)
+    done = compaction.compact(spark, path, 1 << 20)
+    assert done == {"removed": len(before), "added": 4} and len(files(path)) == 4
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == sorted(map(tuple, rows.collect()))
+
+
 def test_bins_hold_the_target(spark):
     rng = random.Random(2)
     listed = [(f"/d{f}/{i}", f"/d{f}", rng.randrange(1, 120)) for f in range(3) for i in range(40)] + [("/e/1", "/e", 5), ("/d0/big", "/d0", 100_000)]
