@@ -25,9 +25,10 @@ def shared_lines(spark, docs, sf_dir):
 
 
 def near_copies(spark, docs, sf_dir):
-    """Near-dedup: one document of each group stays; texts of Jaccard similarity 0.8 or more over five-word shingles are linked.
+    """SimHash near-dedup: one document of each group stays; texts of Jaccard similarity 0.8 or more over five-word shingles are linked.
 
-    Fingerprints of such texts differ in about ten bits, too many for the trie, so bands of least hashes find the candidates.
+    Tries of several independent SimHashes find the candidates, as one SimHash of such texts differs in about ten of 64 bits;
+    exact shingle sets confirm them.
     """
     return simhash.keep_one(docs, words=5, similarity=0.8)
 

@@ -154,15 +154,19 @@ def candidates(rows: DataFrame, similarity: float) -> DataFrame:
     return parts.select(F.col("node").alias("fp"), "component").union(parts.select(F.col("component").alias("fp"), "component").distinct())
 
 
-def similar_links(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, words: int, similarity: float, most_sets: int = 2048, most_shingles: int = 1 << 18) -> DataFrame:
+def similar_links(
+    docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, words: int, similarity: float, most_sets: int = 2048, most_shingles: int = 1 << 18, found: DataFrame | None = None
+) -> DataFrame:
     """Links (a, b) between different shingle sets, as stars per task, from the exact Jaccard similarity of candidates.
 
-    `rows` are the sketches of `docs`. Small components of candidates are dealt into units; larger ones
+    `rows` has the (id, body, fp, n) of `docs`, and `found` the (fp, component) of the candidates; without it `rows` are
+    sketches, whose bands find them. Small components of candidates are dealt into units; larger ones
     are cut into parts, and all pairs of parts are held against each other. Only candidates' texts are
     read again, one of each set.
     """
     owners = rows.groupBy("fp").agg(F.min(F.struct("id", "body", "n")).alias("o")).select("fp", "o.*")
-    members = stage(candidates(rows, similarity).join(owners, "fp"), "members")
+    found = candidates(rows, similarity) if found is None else found
+    members = stage(found.join(owners, "fp"), "members")
     sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
     cut = F.ceil(F.greatest(F.col("sets") / most_sets, F.col("shingles") / most_shingles)).cast("int")
     large = stage(sizes.select("component", cut.alias("cut")).filter("cut > 1"), "large-candidates")
