@@ -70,14 +70,15 @@ def row_words(rows: DataFrame) -> DataFrame:
     return rows.select("__row", F.explode(F.array_distinct(F.split("__text", " "))).alias("__word"))
 
 
-def word_grams(spelled: DataFrame) -> DataFrame:
-    """The different grams of one to three letters of every word."""
+def grams_of(word: str):
+    """The different grams of one to three letters of a word that is not empty."""
+    cut = lambda n: F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.substr(word, i, F.lit(n)))
+    return F.array_distinct(F.flatten(F.array(*[cut(n) for n in (1, 2, 3)])))
 
-    def grams_of(n):
-        return F.transform(F.sequence(F.lit(1), F.length("__word")), lambda i: F.substr("__word", i, F.lit(n)))
 
-    grams = F.flatten(F.array(*[grams_of(n) for n in (1, 2, 3)]))
-    return spelled.filter("__word <> ''").select("__word", F.explode(F.array_distinct(grams)).alias("__gram"))
+def word_grams(spelled: DataFrame) -> DataFrame:
+    """The different grams of one to three letters of every word."""
+    return spelled.filter("__word <> ''").select("__word", F.explode(grams_of("__word")).alias("__gram"))
 
 
 def confirmed(rows: DataFrame, by_word, by_gram, needles: DataFrame, needle_id: str, names: list[str], keep: list[str]) -> DataFrame:

@@ -33,15 +33,16 @@ def create_layers(spark: SparkSession, bronze: str = "bronze", silver: str = "si
             spark.sql(f"CREATE TABLE {bronze}.{table} ({columns}) USING parquet")
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> int:
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None, gather: bool = True) -> int:
     """Write and return the number of rows, counted while they are written.
 
     With `partition_by`, overwrite replaces only the partitions that occur in `df`. Rows are gathered
     by partition before, with small partitions joined and large ones split again at run time, so there
-    are neither many small files nor one task for a large partition.
+    are neither many small files nor one task for a large partition. Without `gather` they are written
+    from where they lie, which spares rows of a single partition the exchange.
     """
     counted = Observation()
-    if partition_by:
+    if partition_by and gather:
         df = df.hint("rebalance", *partition_by)
     writer = df.observe(counted, F.count(F.lit(1)).alias("n")).write.mode(mode)
     if partition_by:

@@ -65,6 +65,19 @@ def test_a_search_reads_the_buckets_of_its_words(spark, tmp_path):
     assert "PartitionFilters: [" in plan and "_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_an_index_has_each_different_word_once_an_increment(spark, tmp_path):
+    path = str(tmp_path / "index")
+    hay = spark.range(300).selectExpr("id AS i", "concat('x word', id % 100, ' yéçàñ  y') AS t")
+    for _ in range(2):
+        textindex.add(hay, "t", ["i"], path, "one")
+    stored = {p.name: spark.read.parquet(str(p)).count() for p in (tmp_path / "index").iterdir()}
+    assert stored.pop("rows") == 300 and stored.pop("words") == 1500 and list(stored.values()) == [103]
+    wanted = spark.createDataFrame([("éç",), ("ord",), ("q",), ("7",)], "__gram string")
+    got = {(r["__word"], r["__gram"]) for r in textindex._by_gram(spark, f"{path}/spelled", wanted).collect()}
+    words = ["x", "y", "yéçàñ"] + [f"word{i}" for i in range(100)]
+    assert got == {(w, g) for w in words for g in ("éç", "ord", "q", "7") if g in w}
+
+
 def test_mentions_without_names(spark):
     hay = spark.createDataFrame([(1, "x")], "i int, t string")
     none = spark.createDataFrame([(1, None)], "j int, a string")
