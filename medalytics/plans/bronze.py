@@ -47,7 +47,7 @@ def landed_files(spark, d):
     talk = X.table(spark, d, "conversations").withColumn("size", F.length("text"))
     record = F.struct("conv_id", "turn", "role", "text", "size")
     paged = talk.groupBy("conv_id", F.floor(F.col("turn") / PAGE_SIZE)).agg(F.collect_list(record).alias("dados"))
-    paged.select(F.to_json(F.struct("dados")).alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
+    pages.write_pages(paged.select(F.to_json(F.struct("dados")).alias("value")), folder)
     records = pages.explode_records(pages.read_pages(spark, folder).select("value"))
     schema = T.StructType([T.StructField("conv_id", T.LongType()), *TURN.fields])
     rows = ingest.with_audit(pages.rescue(records, "record", schema), "/conversations", "20240131_000000")

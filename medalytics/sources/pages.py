@@ -9,6 +9,15 @@ from pyspark.sql import types as T
 from ..functions.skew import join_lookup
 
 
+def write_pages(pages: DataFrame, path: str, value: str = "value") -> None:
+    """One file per page. The tasks move their own files to the folder, so the driver does not move all of them one by one.
+
+    A run that is lost while it writes can leave a part of the files; the folder must be a new one.
+    """
+    commit = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+    pages.select(value).write.options(**commit).option("maxRecordsPerFile", 1).text(path)
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """One row per page file: its path and text. A page has a bounded number of records."""
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("page"), F.col("value"))

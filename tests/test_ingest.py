@@ -38,6 +38,14 @@ def test_envelope(landed):
     assert kinds == {"list": 2, "object": 1, "missing": 2, "other": 1}
 
 
+def test_pages_are_written_one_to_a_file(spark, tmp_path):
+    made = spark.range(0, 500, 1, 7).selectExpr("concat('{\"dados\": [', id, ',\n', id + 1, ']}') AS value", "id")
+    folder = tmp_path / "landing"
+    pages.write_pages(made, str(folder))
+    assert sorted(p.read_text().rstrip("\n") for p in folder.glob("part-*")) == sorted(r["value"] for r in made.collect())
+    assert len(list(folder.glob("part-*"))) == pages.read_pages(spark, str(folder)).count() == 500 and not list(folder.glob("_temporary*"))
+
+
 def test_a_page_without_payload_ends_the_set(landed):
     got = pages.until_end(landed.withColumn("e", F.lit("x")), ["e"], "no")
     assert sorted(r["no"] for r in got.collect()) == [1, 2]
