@@ -141,6 +141,19 @@ def test_a_passage_in_very_many_contexts(spark):
     assert sorted(map(tuple, got.collect()), key=repr) == brute_repeats([(i, t.encode()) for i, t in enumerate(texts)], 40)
 
 
+def test_passages_of_over_50_words(spark):
+    """A passage that several documents hold goes from 400 bytes on, whatever its words; clean documents stay whole."""
+    random.seed(6)
+    words = lambda n: " ".join("".join(random.choice("abcdefgh") for _ in range(4)) for _ in range(n))
+    short = words(80)
+    long = words(80) + "."
+    assert (len(short), len(long)) == (399, 400)
+    texts = [f"{words(60)} {chr(65 + i)}{p}{chr(65 + i)} {words(60)}" for i, p in enumerate([long] * 5 + [short] * 5 + ["é"] * 5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_text) for r in suffixdedup.report(suffixdedup.remove_repeats(docs)).collect())
+    assert got == [(i, len(t.encode()), 400 * (i < 5), int(i < 5), t.replace(long, "")) for i, t in enumerate(texts)]
+
+
 def test_a_text_longer_than_a_block(spark, monkeypatch):
     random.seed(4)
     anchors = suffixdedup.Anchors(40, 13, block=300)
